@@ -6,7 +6,7 @@ from rastertable.catalog.registry import ORACLES, QUERIES, Query
 
 
 def _load() -> None:
-    from rastertable.catalog import cells, scenes  # noqa: F401
+    from rastertable.catalog import cells, sampling, scenes, spatial  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

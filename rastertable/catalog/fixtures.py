@@ -33,8 +33,19 @@ POLY = [[[366100.0, 5808100.0], [366300.0, 5808150.0], [366250.0, 5808400.0],
          [366120.0, 5808350.0], [366100.0, 5808100.0]]]
 
 
+# Columns in use; declared, so that no job runs to infer a schema.
+TABLES = {
+    "embeddings": "vec_id bigint, embedding array<float>",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint",
+    "supplier": "s_suppkey bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ------------------------------------------------------------------------ scenes
@@ -192,11 +203,18 @@ def drawn_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return random_windows(draws, grid.extent, WINDOW, grid, lcg_uniform)
 
 
-def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct windows numbered from 0."""
     return number_windows(distinct_windows(drawn_windows(spark, sf_dir)))
 
 
+def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows under their draw number."""
+    return drawn_windows(spark, sf_dir).select(
+        F.col("draw_id").alias("window_id"), "draw_id", "x0", "y0", "x1", "y1"
+    )
+
+
 def u_sql(ident: str, salt: int) -> str:
     return (
         f"(CAST((((({ident}) % 2147483647) * 48271 + {salt} * 16807 + 12345) * 69621) % 2147483647 AS DOUBLE)"
@@ -218,6 +236,9 @@ wb AS (SELECT draw_id, xmin, ymin, xmax, ymax,
               least(CAST(ceil(({OY} - ymin) / {CELL}) AS BIGINT) - 1, height - 1) AS y1 FROM we)"""
 
 WINDOWS = DRAWN + """,
+w AS (SELECT draw_id AS window_id, draw_id, x0, y0, x1, y1 FROM wb)"""
+
+NUMBERED = DRAWN + """,
 w AS (SELECT row_number() OVER (ORDER BY draw_id) - 1 AS window_id, draw_id, x0, y0, x1, y1
       FROM (SELECT *, row_number() OVER (PARTITION BY xmin, ymin, xmax, ymax ORDER BY draw_id) AS r FROM wb)
       WHERE r = 1)"""

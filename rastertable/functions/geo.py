@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastertable.functions.tiles import let
@@ -277,7 +277,27 @@ def utm_zone(crs: str) -> int | None:
     return None
 
 
-def project(lon, lat, crs: str, m=F):
+def _keep(value):
+    return value
+
+
+class _Stages:
+    """Turns intermediate values into columns of a growing DataFrame.
+
+    The series reuse their arguments many times; as columns they are computed
+    once per row and the generated code stays small.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df, self.n = df, 0
+
+    def __call__(self, value: Column) -> Column:
+        name = f"_stage{self.n}"
+        self.df, self.n = self.df.withColumn(name, value), self.n + 1
+        return F.col(name)
+
+
+def project(lon, lat, crs: str, m=F, hold=_keep):
     """Longitude/latitude in degrees to map x, y.
 
     ``m`` supplies the math functions: ``pyspark.sql.functions`` for columns,
@@ -295,9 +315,10 @@ def project(lon, lat, crs: str, m=F):
         raise ValueError(f"unsupported CRS {crs}")
     e, radius, fwd, _, _ = _krueger()
     dl = lam - math.radians(6 * zone - 183)
-    t = m.sinh(m.atanh(m.sin(phi)) - m.atanh(m.sin(phi) * e) * e)
-    xi = m.atan2(t, m.cos(dl))
-    eta = m.atanh(m.sin(dl) / m.sqrt(t * t + 1))
+    dl, sp = hold(dl), hold(m.sin(phi))
+    t = hold(m.sinh(m.atanh(sp) - m.atanh(sp * e) * e))
+    xi = hold(m.atan2(t, m.cos(dl)))
+    eta = hold(m.atanh(m.sin(dl) / m.sqrt(t * t + 1)))
     x, y = eta, xi
     for j, a in enumerate(fwd, start=1):
         x = x + m.cos(xi * (2 * j)) * m.sinh(eta * (2 * j)) * a
@@ -305,7 +326,7 @@ def project(lon, lat, crs: str, m=F):
     return x * (UTM_K0 * radius) + UTM_E0, y * (UTM_K0 * radius)
 
 
-def unproject(x, y, crs: str, m=F):
+def unproject(x, y, crs: str, m=F, hold=_keep):
     """Map x, y to longitude/latitude in degrees."""
     if crs == "EPSG:4326":
         return x, y
@@ -317,13 +338,14 @@ def unproject(x, y, crs: str, m=F):
     if zone is None:
         raise ValueError(f"unsupported CRS {crs}")
     _, radius, _, inv, series = _krueger()
-    xi0 = y / (UTM_K0 * radius)
-    eta0 = (x - UTM_E0) / (UTM_K0 * radius)
+    xi0 = hold(y / (UTM_K0 * radius))
+    eta0 = hold((x - UTM_E0) / (UTM_K0 * radius))
     xi, eta = xi0, eta0
     for j, b in enumerate(inv, start=1):
         xi = xi - m.sin(xi0 * (2 * j)) * m.cosh(eta0 * (2 * j)) * b
         eta = eta - m.cos(xi0 * (2 * j)) * m.sinh(eta0 * (2 * j)) * b
-    chi = m.asin(m.sin(xi) / m.cosh(eta))
+    xi, eta = hold(xi), hold(eta)
+    chi = hold(m.asin(m.sin(xi) / m.cosh(eta)))
     phi = chi
     for j, d in enumerate(series, start=1):
         phi = phi + m.sin(chi * (2 * j)) * d
@@ -334,12 +356,23 @@ def unproject(x, y, crs: str, m=F):
 NUM = _Num
 
 
-def reproject(x, y, source: str, target: str, m=F):
+def reproject(x, y, source: str, target: str, m=F, hold=_keep):
     """Map coordinates of one CRS to another, through longitude/latitude."""
     if source == target:
         return x, y
-    lon, lat = unproject(x, y, source, m)
-    return project(lon, lat, target, m)
+    lon, lat = unproject(x, y, source, m, hold)
+    return project(hold(lon), hold(lat), target, m, hold)
+
+
+def reproject_columns(
+    df: DataFrame, x: Column, y: Column, source: str, target: str, out: tuple[str, str]
+) -> DataFrame:
+    """Add the reprojected coordinates of every row as two columns."""
+    stages = _Stages(df)
+    px, py = reproject(x, y, source, target, F, stages)
+    return stages.df.withColumns({out[0]: px, out[1]: py}).drop(
+        *[f"_stage{k}" for k in range(stages.n)]
+    )
 
 
 def reproject_rings(rings: Rings, source: str, target: str) -> Rings:

@@ -42,7 +42,9 @@ def orient_chips(chips: DataFrame) -> DataFrame:
         )
         for b in bands
     }
-    return chips.withColumns({**turned, **size})
+    # In two steps: inside a lambda, Spark would resolve ``cols`` to the new
+    # column of the same projection.
+    return chips.withColumns(turned).withColumns(size)
 
 
 def orient_pieces(pieces: DataFrame) -> DataFrame:
@@ -78,4 +80,4 @@ def orient_pieces(pieces: DataFrame) -> DataFrame:
         b: orient(F.col(b), F.col("w"), F.col("h"), F.col("flip_v"), F.col("flip_h"), F.col("turns"))
         for b in band_columns(pieces)
     }
-    return pieces.withColumns({**turned, **moved})
+    return pieces.withColumns(turned).withColumns(moved)

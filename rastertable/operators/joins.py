@@ -21,6 +21,16 @@ def measured_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition few but expensive rows over all shuffle partitions.
+
+    The count is given explicitly because adaptive execution would merge such
+    small partitions by size into one task, although each row stands for a
+    whole tile of work.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def window_keys(windows: DataFrame, tile: int) -> DataFrame:
     """One row per window and tile key that its cell bounds cover."""
 

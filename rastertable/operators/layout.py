@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastertable.functions.geo import reproject
+from rastertable.functions.geo import reproject_columns
 from rastertable.functions.tiles import constant_cells, crop_cells, dense_cells, let, place_cells
 from rastertable.grid import Grid, zorder
-from rastertable.operators.joins import measured_broadcast
+from rastertable.operators.joins import measured_broadcast, spread
 from rastertable.schema import BAND_NAMES, LAYER_META, SCENE_SIZE, band_columns, cell_sql_type
 
 # Contributions to one tile that are merged inside one group; tiles with more
@@ -378,8 +378,7 @@ def reproject_nn(
     bands = band_columns(tiles)
     n = t * t
     cell = (
-        target_keys.select("col", "row")
-        .distinct()
+        spread(target_keys.select("col", "row").distinct(), "col", "row")
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
         .withColumns(
             {
@@ -388,19 +387,32 @@ def reproject_nn(
             }
         )
     )
-    sx, sy = reproject(F.col("_tx"), F.col("_ty"), target.crs, source.crs)
-    address = cell.select(
-        F.col("col").alias("tcol"), F.col("row").alias("trow"), "k",
-        source.x_of(sx).alias("_x"), source.y_of(sy).alias("_y"),
-    ).select(
-        "tcol", "trow", "k",
-        F.floor(F.col("_x") / s).cast("int").alias("col"),
-        F.floor(F.col("_y") / s).cast("int").alias("row"),
-        (F.pmod("_y", F.lit(s)) * s + F.pmod("_x", F.lit(s))).cast("int").alias("sk"),
+    at = reproject_columns(cell, F.col("_tx"), F.col("_ty"), target.crs, source.crs, ("_sx", "_sy"))
+    # Cells off the source get the key (-1, -1), which no tile has.  They are
+    # not filtered, and the keys are not nullable, because a filter (also the
+    # one a join infers) would be pushed down with the projection formulas
+    # copied into it.
+    at = at.withColumns(
+        {
+            "_x": F.coalesce(source.x_of(F.col("_sx")), F.lit(-1).cast("bigint")),
+            "_y": F.coalesce(source.y_of(F.col("_sy")), F.lit(-1).cast("bigint")),
+        }
     )
-    wanted = address.groupBy("tcol", "trow", "col", "row").agg(
-        F.collect_list(F.struct("k", "sk")).alias("_at")
+    inside = (F.col("_x") >= 0) & (F.col("_y") >= 0)
+    if source.width is not None:
+        inside &= (F.col("_x") < source.width) & (F.col("_y") < source.height)
+    none = F.lit(-1)
+    address = at.withColumn("_in", inside).select(
+        F.col("col").alias("tcol"), F.col("row").alias("trow"),
+        F.coalesce(F.when(F.col("_in"), F.floor(F.col("_x") / s).cast("int")), none).alias("scol"),
+        F.coalesce(F.when(F.col("_in"), F.floor(F.col("_y") / s).cast("int")), none).alias("srow"),
+        F.when(
+            F.col("_in"),
+            F.struct("k", (F.pmod("_y", F.lit(s)) * s + F.pmod("_x", F.lit(s))).cast("int").alias("sk")),
+        ).alias("_a"),
     )
+    wanted = address.groupBy("tcol", "trow", "scol", "srow").agg(F.collect_list("_a").alias("_at"))
+    wanted = wanted.withColumnsRenamed({"scol": "col", "srow": "row"})
     looked_up = wanted.join(tiles.select("col", "row", *bands), ["col", "row"]).select(
         F.col("tcol").alias("col"), F.col("trow").alias("row"),
         F.transform(
@@ -410,18 +422,18 @@ def reproject_nn(
             ),
         ).alias("_e"),
     )
-    grouped = looked_up.groupBy("col", "row").agg(
+    grouped = spread(looked_up, "col", "row").groupBy("col", "row").agg(
         F.sort_array(F.flatten(F.collect_list("_e"))).alias("_e")
     )
-    out = grouped.select(
+    if skip_empty:
+        grouped = grouped.where(
+            F.exists("_e", lambda e: F.coalesce(*[e[b] for b in bands]).isNotNull())
+        )
+    return grouped.select(
         "col", "row", zorder(F.col("col"), F.col("row")).alias("z"),
         F.lit(t).alias("tile_cols"), F.lit(t).alias("tile_rows"),
         *[dense_cells(F.col("_e"), b, n, cell_sql_type(tiles, b)).alias(b) for b in bands],
     )
-    if skip_empty:
-        out = out.where(F.exists(bands[0], lambda v: v.isNotNull()) if len(bands) == 1 else
-                        F.greatest(*[F.exists(b, lambda v: v.isNotNull()) for b in bands]))
-    return out
 
 
 def target_keys_for(tiles: DataFrame, source: Grid, target: Grid, margin: int = 1) -> DataFrame:
@@ -444,8 +456,10 @@ def target_keys_for(tiles: DataFrame, source: Grid, target: Grid, margin: int =
             }
         )
     )
-    tx, ty = reproject(F.col("px"), F.col("py"), source.crs, target.crs)
-    tcol, trow = target.key_of(tx, ty)
+    pts = reproject_columns(
+        pts, F.col("px"), F.col("py"), source.crs, target.crs, ("_mx", "_my")
+    )
+    tcol, trow = target.key_of(F.col("_mx"), F.col("_my"))
     spans = pts.select("col", "row", tcol.alias("tc"), trow.alias("tr")).groupBy("col", "row").agg(
         F.min("tc").alias("c0"), F.max("tc").alias("c1"),
         F.min("tr").alias("r0"), F.max("tr").alias("r1"),
