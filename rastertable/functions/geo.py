@@ -189,34 +189,57 @@ def box_relation(edges: Column, box: Column) -> Column:
 def mask_cells(cells: Column, edges: Column, cols, rows, left, top, cw: float, ch: float) -> Column:
     """NoData for cells whose centre lies outside.
 
-    ``left``/``top`` is the map position of the top-left corner.  The crossings
-    of a cell row are found once per row, not once per cell, and only from the
-    edges that reach the rectangle.
+    ``left``/``top`` is the map position of the top-left corner.  Each cell row
+    is cut into runs where it crosses the outline, and whole runs are kept or
+    blanked: the work per row depends on the crossings, not on the cells.
     """
     cols, rows = cols.cast("int"), rows.cast("int")
 
-    def masked(a: Column, near: Column) -> Column:
+    def cells_before(c: Column) -> Column:
+        """How many cells of a row have their centre left of ``c``."""
+
+        def left_of(n: Column) -> Column:
+            return left + (n + F.lit(0.5)) * F.lit(cw) < c
+
+        guess = F.ceil((c - left) / F.lit(cw) - F.lit(0.5)).cast("int")
+        # Rounding may put the guess off by one; the comparison itself decides.
+        n = F.when(left_of(guess), guess + 1).when(~left_of(guess - 1), guess - 1).otherwise(guess)
+        return F.least(F.greatest(n, F.lit(0)), cols)
+
+    def masked(a: Column, near: Column, empty: Column) -> Column:
+        def nodata(n: Column) -> Column:
+            return F.slice(empty, F.lit(1), n)
+
         def one_row(y: Column) -> Column:
             cy = top - (y + F.lit(0.5)) * F.lit(ch)
-            crossing = F.transform(
-                F.filter(near, lambda e: (e["y1"] > cy) != (e["y2"] > cy)),
-                lambda e: (e["x2"] - e["x1"]) * F.try_divide(cy - e["y1"], e["y2"] - e["y1"])
-                + e["x1"],
+            # Cell positions where the row changes sides, in order.
+            turns = F.sort_array(
+                F.transform(
+                    F.filter(near, lambda e: (e["y1"] > cy) != (e["y2"] > cy)),
+                    lambda e: let(
+                        (e["x2"] - e["x1"]) * F.try_divide(cy - e["y1"], e["y2"] - e["y1"])
+                        + e["x1"],
+                        cells_before,
+                    ),
+                )
             )
+            # An odd number means that the row starts inside.
+            turns = F.when(F.size(turns) % 2 == 1, F.concat(F.array(F.lit(0)), turns)).otherwise(turns)
             return let(
-                crossing,
-                lambda xs: F.transform(
-                    F.slice(a, y * cols + 1, cols),
-                    lambda v, x: F.when(
-                        F.size(
-                            F.filter(
-                                xs, lambda c: left + (x + F.lit(0.5)) * F.lit(cw) < c
-                            )
+                turns,
+                lambda ts: F.concat(
+                    F.flatten(
+                        F.transform(
+                            ts,
+                            lambda t, i: let(
+                                F.when(i > 0, F.get(ts, i - 1)).otherwise(F.lit(0)),
+                                lambda s: F.when(
+                                    i % 2 == 1, F.slice(a, y * cols + s + 1, t - s)
+                                ).otherwise(nodata(t - s)),
+                            ),
                         )
-                        % 2
-                        == 1,
-                        v,
                     ),
+                    nodata(cols - F.coalesce(F.get(ts, F.size(ts) - 1), F.lit(0))),
                 ),
             )
 
@@ -229,7 +252,9 @@ def mask_cells(cells: Column, edges: Column, cols, rows, left, top, cw: float, c
         & (F.least(e["y1"], e["y2"]) <= top)
         & (F.greatest(e["x1"], e["x2"]) >= left),
     )
-    return let(F.struct(cells.alias("a"), near.alias("n")), lambda t: masked(t["a"], t["n"]))
+    empty = F.transform(F.slice(cells, F.lit(1), cols), lambda v: F.nullif(v, v))
+    bound = F.struct(cells.alias("a"), near.alias("n"), empty.alias("e"))
+    return let(bound, lambda t: masked(t["a"], t["n"], t["e"]))
 
 
 # ------------------------------------------------------------------ projections

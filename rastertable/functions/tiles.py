@@ -143,9 +143,15 @@ def dense_cells(entries: Column, field: str, n, cell_type: str = "int") -> Colum
             )
 
         first = F.get(sorted_entries, F.lit(0)).getField("k")
-        return F.concat(
-            constant_cells(None, first, cell_type),
-            F.flatten(F.transform(sorted_entries, run)),
+        # Without gaps the entries are the cells.
+        return F.when(
+            F.size(sorted_entries) == n,
+            F.transform(sorted_entries, lambda e: e.getField(field).cast(cell_type)),
+        ).otherwise(
+            F.concat(
+                constant_cells(None, first, cell_type),
+                F.flatten(F.transform(sorted_entries, run)),
+            )
         )
 
     return let(entries, fill)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from rastertable.functions import geo
 from rastertable.functions.tiles import crop_cells
 from rastertable.grid import Grid, zorder_of
-from rastertable.operators.joins import join_tiles
+from rastertable.operators.joins import join_tiles, spread
 from rastertable.schema import BAND_NAMES, band_columns
 
 # Unrolling more edges than this would exceed the generated-code limit.
@@ -69,8 +70,6 @@ def key_range(tiles: DataFrame, grid: Grid, box: tuple[float, float, float, floa
 
 def box_keys(grid: Grid, box: tuple[float, float, float, float]) -> tuple[int, int, int, int]:
     """Inclusive tile-key range whose closed extents touch a closed map box."""
-    import math
-
     tw, th = grid.tile * grid.cw, grid.tile * grid.ch
     xmin, ymin, xmax, ymax = box
     return (
@@ -112,6 +111,20 @@ def polygon_keys(polygons: DataFrame, grid: Grid, rings: str = "rings") -> DataF
     rows = base.withColumn(
         "row",
         F.explode(span(F.lit(grid.oy) - env["ymax"], F.lit(grid.oy) - env["ymin"], th, grid.height)),
+    ).withColumn("_band", grid.key_extent(F.lit(0), F.col("row")))
+    # Only edges that reach a tile row matter in it.  Rows of one polygon are
+    # spread over the tasks, so a polygon over very many tiles does not hold up
+    # a single one.
+    rows = spread(
+        rows.select(
+            *rest, "row", "_env",
+            F.filter(
+                "_edges",
+                lambda e: (F.greatest(e["y1"], e["y2"]) >= F.col("_band.ymin"))
+                & (F.least(e["y1"], e["y2"]) <= F.col("_band.ymax")),
+            ).alias("_near"),
+        ),
+        *rest, "row",
     )
     keys = rows.withColumn(
         "col",
@@ -119,17 +132,12 @@ def polygon_keys(polygons: DataFrame, grid: Grid, rings: str = "rings") -> DataF
     )
     box = grid.key_extent(F.col("col"), F.col("row"))
     related = keys.withColumn("_box", box).withColumn(
-        "relation", geo.box_relation(F.col("_edges"), F.col("_box"))
+        "relation", geo.box_relation(F.col("_near"), F.col("_box"))
     ).where(F.col("relation") != "outside")
-    near = F.filter(
-        "_edges",
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= F.col("_box.ymin"))
-        & (F.least(e["y1"], e["y2"]) <= F.col("_box.ymax"))
-        & (F.greatest(e["x1"], e["x2"]) >= F.col("_box.xmin")),
-    )
+    right_of = F.filter("_near", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("_box.xmin"))
     return related.select(
         *rest, "col", "row", "relation",
-        F.when(F.col("relation") == "edge", near).alias("edges"),
+        F.when(F.col("relation") == "edge", right_of).alias("edges"),
     )
 
 

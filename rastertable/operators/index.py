@@ -20,9 +20,13 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", bits: int = BUCKET_BI
     window runs over ``distinct(key >> 2*bits)`` rows.  Buckets depend on the
     key alone, so a recomputed task numbers its rows identically.
     """
-    bucket = F.shiftright(F.col(key), bits)
+    # Non-nullable join keys: otherwise the joins infer a filter on the key
+    # formula, and the three uses of ``df`` no longer share one exchange.
+    bucket = F.coalesce(F.shiftright(F.col(key), bits), F.lit(0).cast("bigint"))
     counts = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_super", F.shiftright("_bucket", bits))
+    counts = counts.withColumn(
+        "_super", F.coalesce(F.shiftright("_bucket", bits), F.lit(0).cast("bigint"))
+    )
     before = Window.orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
     supers = (
         counts.groupBy("_super")
