@@ -11,12 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastertable.functions.tiles import constant_cells, pad_cells
-from rastertable.operators.joins import measured_broadcast
 from rastertable.schema import SCENE_SIZE, SOURCE_BANDS, TOTAL_BANDS, cell_sql_type
 
-# Header rows sent to every executor at most (about 200 bytes each).
-HEADER_ROWS = 200_000
-
 FILE = ["source_dir", "file_name"]
 
 
@@ -62,10 +58,10 @@ def scene_headers(headers: DataFrame, size: int = SCENE_SIZE) -> DataFrame:
     )
 
 
-def band_offsets(headers: DataFrame) -> DataFrame:
-    """Add ``band_offset``: bands of the scene in earlier files (src, name)."""
+def band_offsets(headers: DataFrame, within: tuple[str, ...] = ("i", "j")) -> DataFrame:
+    """Add ``band_offset``: bands of earlier files (src, name) of the scene."""
     w = (
-        Window.partitionBy("i", "j").orderBy("src", "file_name")
+        Window.partitionBy(*within).orderBy("src", "file_name", "source_dir")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return headers.withColumn(
@@ -79,6 +75,24 @@ def slot_offset(src: Column, source_bands=SOURCE_BANDS) -> Column:
     return F.get(F.array(*[F.lit(v) for v in starts]), src)
 
 
+def _placed_files(headers: DataFrame, total: int, pad: str, source_bands) -> DataFrame:
+    """First band of every file; a file that does not fit is an error."""
+    if pad == "slot":
+        files = band_offsets(headers, ("i", "j", "src"))
+        start = slot_offset(F.col("src"), source_bands)
+        room = F.get(F.array(*[F.lit(n) for n in source_bands]), F.col("src"))
+    else:
+        files = band_offsets(headers)
+        start, room = F.lit(0), F.lit(total)
+    fits = F.col("band_offset") + F.col("n_bands") <= room
+    excess = F.raise_error(
+        F.format_string("scene %d_%d has more than %d bands: %s", F.col("i"), F.col("j"), room, F.col("file_name"))
+    ).cast("int")
+    return files.withColumn(
+        "band_offset", F.when(fits, start + F.col("band_offset")).otherwise(excess)
+    )
+
+
 def assemble_scenes(
     blocks: DataFrame,
     block_size: int,
@@ -94,70 +108,72 @@ def assemble_scenes(
     in the slot of the missing source (``pad='slot'``).  A scene with more than
     ``total_bands`` bands, or a block outside the scene, is an error; nothing
     is dropped.
+
+    A cell-free frame of all block positions, which carries the scene header
+    and the first band of each file, is joined with the blocks on the block
+    key.  The join and the grouping share that key, so cell data is shuffled
+    once however many files there are.
     """
     if pad not in ("tail", "slot"):
         raise ValueError("pad must be 'tail' or 'slot'")
-    headers = file_headers(blocks)
-    scenes = scene_headers(headers, scene_size)
-    files = (
-        band_offsets(headers)
-        if pad == "tail"
-        else headers.withColumn("band_offset", slot_offset(F.col("src"), source_bands))
-    )
-    files = measured_broadcast(files.select(*FILE, "band_offset"), HEADER_ROWS)
-
-    index = F.col("band_offset") + F.col("band")
-    excess = F.raise_error(
-        F.format_string("scene %d_%d has more than %d bands", F.col("i"), F.col("j"), F.lit(total_bands))
-    ).cast("int")
+    key = ["i", "j", "block_x", "block_y"]
     n = -(-scene_size // block_size)
-    outside = F.raise_error(
-        F.concat(F.lit("block outside the scene: "), F.col("file_name"))
-    ).cast("int")
 
     def side(block: str) -> Column:
         return F.least(F.lit(block_size), F.lit(scene_size) - F.col(block) * block_size).cast("int")
 
-    ctype = cell_sql_type(blocks, "cells")
-    inside = (F.col("block_x") < n) & (F.col("block_y") < n)
-    data = blocks.join(files, FILE).select(
-        "i", "j", "block_x", "block_y",
-        F.when(index >= total_bands, excess).when(~inside, outside).otherwise(index).alias("_k"),
-        pad_cells(
-            F.col("cells"), F.col("cols"), F.col("rows"), side("block_x"), side("block_y"),
-            0, ctype,
-        ).alias("_cells"),
+    headers = file_headers(blocks)
+    # At most ``total_bands`` files per scene, since each has a band and fits.
+    offsets = (
+        _placed_files(headers, total_bands, pad, source_bands)
+        .groupBy("i", "j")
+        .agg(F.collect_list(F.struct(*FILE, "band_offset")).alias("_files"))
     )
-    # One cell-free row per block position, so that blocks no source delivers
-    # still become zero blocks.
     axis = F.sequence(F.lit(0), F.lit(n - 1))
     frame = (
-        scenes.select("i", "j")
+        scene_headers(headers, scene_size)
+        .join(offsets, ["i", "j"])
         .withColumn("block_x", F.explode(axis))
         .withColumn("block_y", F.explode(axis))
-        .select(
-            "i", "j", "block_x", "block_y", F.lit(None).cast("int").alias("_k"),
-            F.lit(None).cast(f"array<{ctype}>").alias("_cells"),
-        )
     )
-    key = ["i", "j", "block_x", "block_y"]
-    # Shuffled explicitly: grouping whole arrays before the shuffle would sort
-    # the cell data twice and save nothing.
-    stacked = (
-        data.unionByName(frame)
-        .repartition(*key)
-        .groupBy(*key)
-        .agg(
-            *[
-                F.first(F.when(F.col("_k") == k, F.col("_cells")), ignorenulls=True).alias(f"b{k}")
-                for k in range(total_bands)
-            ]
-        )
+    ctype = cell_sql_type(blocks, "cells")
+    outside = F.raise_error(
+        F.concat(F.lit("block outside the scene: "), F.col("file_name"))
+    ).cast("int")
+    inside = (F.col("block_x") < n) & (F.col("block_y") < n)
+    data = blocks.select(
+        "i", "j", F.when(inside, F.col("block_x")).otherwise(outside).alias("block_x"), "block_y",
+        *FILE, "band",
+        pad_cells(
+            F.col("cells"), F.col("cols"), F.col("rows"), side("block_x"), side("block_y"), 0, ctype
+        ).alias("_cells"),
+    )
+    own = F.get(
+        F.filter(
+            "_files",
+            lambda f: (f["source_dir"] == F.col("source_dir")) & (f["file_name"] == F.col("file_name")),
+        ),
+        F.lit(0),
+    )
+    header = ["crs", "extent", "cell_type", "n_bands"]
+    # Both sides are partitioned by the block key beforehand, which the join
+    # and the aggregation keep.
+    tagged = (
+        frame.repartition(*key)
+        .join(data.repartition(*key), key, "left")
+        .select(*key, *header, (own["band_offset"] + F.col("band")).alias("_k"), "_cells")
+    )
+    stacked = tagged.groupBy(*key).agg(
+        *[F.first(c).alias(c) for c in header],
+        *[
+            F.first(F.when(F.col("_k") == k, F.col("_cells")), ignorenulls=True).alias(f"b{k}")
+            for k in range(total_bands)
+        ],
     )
     cols, rows = side("block_x"), side("block_y")
     zero = constant_cells(0, cols * rows, ctype)
-    return stacked.join(measured_broadcast(scenes, HEADER_ROWS), ["i", "j"]).select(
-        "i", "j", "block_x", "block_y", "crs", "extent", "cell_type", "n_bands",
+    return stacked.select(
+        *key, *header,
         (F.col("block_x") * block_size).alias("x_off"),
         (F.col("block_y") * block_size).alias("y_off"),
         cols.alias("cols"), rows.alias("rows"),

@@ -194,6 +194,33 @@ def test_copies_are_kept_or_refused(spark):
         assemble.assemble_scenes(twice, 2, 2, total_bands=4).collect()
 
 
+def test_cells_are_shuffled_once(spark, sf_dir):
+    """Without broadcasts: one exchange for the blocks, one for the frame."""
+    from rastertable.catalog import fixtures as X
+    from rastertable.sources.scenes import reblock
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = assemble.assemble_scenes(reblock(X.px_blocks(spark, sf_dir), 3), 3, X.SCENE)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        by_block = [l for l in plan.splitlines() if "Exchange hashpartitioning(" in l and "block_x" in l]
+        assert len(by_block) == 2
+        assert df.count() == 46 * 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_slot_padding_keeps_or_refuses(spark):
+    one = blocks(spark, (1, "b", "x_1_2", 1))
+    row = assemble.assemble_scenes(one, 2, 2, total_bands=3, pad="slot", source_bands=(2, 1)).first()
+    assert [row[f"b{k}"][0] for k in range(3)] == [0, 0, 10]
+    twice = blocks(spark, (1, "b", "x_1_2", 1), (1, "b", "y_1_2", 1))
+    with pytest.raises(Exception, match="more than 1 bands"):
+        assemble.assemble_scenes(twice, 2, 2, total_bands=3, pad="slot", source_bands=(2, 1)).collect()
+
+
 def test_scene_errors(spark):
     bad = blocks(spark, (0, "a", "x_1_2", 1), extent=(0.0, 0.0, 2.0, 2.0))
     with pytest.raises(Exception, match="no file with a valid extent"):
