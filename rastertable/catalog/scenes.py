@@ -284,20 +284,36 @@ def collect_metadata(spark, sf):
     return meta.select("layer", "crs", "cell_type", "extent.*", "tile_size", "col_max", "row_max")
 
 
-@query("metadata_json")
+@query(
+    "metadata_json",
+    f"""{_META} SELECT 'scenes' AS layer, 'EPSG:32633' AS crs, CAST(6 AS INTEGER) AS tile_size,
+    CAST((cols - 1) // 6 AS INTEGER) AS col_max, CAST((rows - 1) // 6 AS INTEGER) AS row_max,
+    'DSM' AS fifth_band FROM d""",
+)
 def metadata_json(spark, sf):
-    return layers.metadata_json(layout.collect_metadata(_heads(spark, sf), "scenes", 6, 0, S))
+    """The JSON text, read back field by field."""
+    text = layers.metadata_json(layout.collect_metadata(_heads(spark, sf), "scenes", 6, 0, S))
+
+    def field(path: str, kind: str = "string"):
+        return F.get_json_object("json", f"$.{path}").cast(kind)
+
+    return text.select(
+        field("layer").alias("layer"), field("crs").alias("crs"),
+        *[field(n, "int").alias(n) for n in ("tile_size", "col_max", "row_max")],
+        field("band_names[4]").alias("fifth_band"),
+    )
 
 
-def _placed(spark, sf, shift: int = 0):
-    """Scenes on the grid of 0.5 m cells; ``shift`` doubles them up, moved."""
+def _placed(spark, sf):
+    """Scenes on the grid of 0.5 m cells, the grid, and the block footprints."""
     from rastertable.grid import Grid
 
     meta = layout.collect_metadata(_heads(spark, sf), "scenes", 6, 0, S).first()
     grid = Grid.from_meta(meta)
     sc = assemble.assemble_scenes(X.px_blocks(spark, sf), S, S)
     placed = layout.place_on_grid(sc, grid, S).withColumn("ord", F.struct("i", "j"))
-    return placed, grid
+    frame = layout.place_on_grid(assemble.block_frame(_heads(spark, sf), S, S), grid, S)
+    return placed, grid, frame
 
 
 _CELLS = f"""{_META.replace("WITH ", "WITH " + X.SC.strip() + ", ", 1)},
@@ -314,8 +330,8 @@ _CELLS = f"""{_META.replace("WITH ", "WITH " + X.SC.strip() + ", ", 1)},
 )
 def tile_to_layout(spark, sf):
     """Scenes of 8 x 8 cells cut to tiles of 6 x 6, across scene borders."""
-    placed, grid = _placed(spark, sf)
-    tiles = layout.tile_to_layout(placed, grid, "ord")
+    placed, grid, frame = _placed(spark, sf)
+    tiles = layout.tile_to_layout(placed, grid, "ord", footprint=frame)
     flat = exploded(tiles.select("col", "row", "b0", "b4", "b10"), "b0", "b4", "b10").where("b0 IS NOT NULL")
     return flat.groupBy("col", "row").agg(
         F.count("*").alias("n"),
@@ -333,7 +349,7 @@ def tile_to_layout(spark, sf):
 )
 def merge_overlap(spark, sf):
     """Every scene twice, the copy moved by (3, 2): first data cell wins."""
-    placed, grid = _placed(spark, sf)
+    placed, grid, _ = _placed(spark, sf)
     holes = placed.select(
         "i", "j", "x0", "y0", "cols", "rows",
         F.transform("b0", lambda v: F.when(v % 5 != 0, v)).alias("b0"),

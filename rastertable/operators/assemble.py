@@ -93,6 +93,27 @@ def _placed_files(headers: DataFrame, total: int, pad: str, source_bands) -> Dat
     )
 
 
+def _block_side(block: str, block_size: int, scene_size: int) -> Column:
+    return F.least(F.lit(block_size), F.lit(scene_size) - F.col(block) * block_size).cast("int")
+
+
+def block_frame(scenes: DataFrame, block_size: int, scene_size: int = SCENE_SIZE) -> DataFrame:
+    """Every block position of every scene header, with offset and size."""
+    axis = F.sequence(F.lit(0), F.lit(-(-scene_size // block_size) - 1))
+    return (
+        scenes.withColumn("block_x", F.explode(axis))
+        .withColumn("block_y", F.explode(axis))
+        .withColumns(
+            {
+                "x_off": F.col("block_x") * block_size,
+                "y_off": F.col("block_y") * block_size,
+                "cols": _block_side("block_x", block_size, scene_size),
+                "rows": _block_side("block_y", block_size, scene_size),
+            }
+        )
+    )
+
+
 def assemble_scenes(
     blocks: DataFrame,
     block_size: int,
@@ -118,10 +139,6 @@ def assemble_scenes(
         raise ValueError("pad must be 'tail' or 'slot'")
     key = ["i", "j", "block_x", "block_y"]
     n = -(-scene_size // block_size)
-
-    def side(block: str) -> Column:
-        return F.least(F.lit(block_size), F.lit(scene_size) - F.col(block) * block_size).cast("int")
-
     headers = file_headers(blocks)
     # At most ``total_bands`` files per scene, since each has a band and fits.
     offsets = (
@@ -129,13 +146,9 @@ def assemble_scenes(
         .groupBy("i", "j")
         .agg(F.collect_list(F.struct(*FILE, "band_offset")).alias("_files"))
     )
-    axis = F.sequence(F.lit(0), F.lit(n - 1))
-    frame = (
-        scene_headers(headers, scene_size)
-        .join(offsets, ["i", "j"])
-        .withColumn("block_x", F.explode(axis))
-        .withColumn("block_y", F.explode(axis))
-    )
+    scenes = scene_headers(headers, scene_size).join(offsets, ["i", "j"])
+    header = ["crs", "extent", "cell_type", "n_bands"]
+    frame = block_frame(scenes, block_size, scene_size).select(*key, *header, "_files")
     ctype = cell_sql_type(blocks, "cells")
     outside = F.raise_error(
         F.concat(F.lit("block outside the scene: "), F.col("file_name"))
@@ -145,7 +158,9 @@ def assemble_scenes(
         "i", "j", F.when(inside, F.col("block_x")).otherwise(outside).alias("block_x"), "block_y",
         *FILE, "band",
         pad_cells(
-            F.col("cells"), F.col("cols"), F.col("rows"), side("block_x"), side("block_y"), 0, ctype
+            F.col("cells"), F.col("cols"), F.col("rows"),
+            _block_side("block_x", block_size, scene_size),
+            _block_side("block_y", block_size, scene_size), 0, ctype,
         ).alias("_cells"),
     )
     own = F.get(
@@ -155,7 +170,6 @@ def assemble_scenes(
         ),
         F.lit(0),
     )
-    header = ["crs", "extent", "cell_type", "n_bands"]
     # Both sides are partitioned by the block key beforehand, which the join
     # and the aggregation keep.
     tagged = (
@@ -170,7 +184,8 @@ def assemble_scenes(
             for k in range(total_bands)
         ],
     )
-    cols, rows = side("block_x"), side("block_y")
+    cols = _block_side("block_x", block_size, scene_size)
+    rows = _block_side("block_y", block_size, scene_size)
     zero = constant_cells(0, cols * rows, ctype)
     return stacked.select(
         *key, *header,

@@ -178,7 +178,13 @@ def _pieces(blocks: DataFrame, tile: int, order: str, with_cells: bool) -> DataF
     )
 
 
-def tile_to_layout(blocks: DataFrame, grid: Grid, order: str, fan_in: int = FAN_IN) -> DataFrame:
+def tile_to_layout(
+    blocks: DataFrame,
+    grid: Grid,
+    order: str,
+    fan_in: int = FAN_IN,
+    footprint: DataFrame | None = None,
+) -> DataFrame:
     """Cut placed blocks (``x0, y0, cols, rows, b*``) into tiles of the grid.
 
     Blocks are sliced to the tiles they touch before the one shuffle, which
@@ -186,9 +192,13 @@ def tile_to_layout(blocks: DataFrame, grid: Grid, order: str, fan_in: int = FAN_
     ``order`` (a unique, orderable column) wins and NoData never overwrites
     data.  A count over the keys finds tiles with more than ``fan_in``
     contributions; those are merged cell by cell with partial aggregation.
+    ``footprint`` may supply the ``x0, y0, cols, rows`` of the same blocks from
+    a cheaper plan for that count.
     """
     tile = grid.tile
-    counts = _pieces(blocks, tile, order, False).groupBy("col", "row").agg(F.count("*").alias("_n"))
+    if footprint is None:
+        footprint = blocks
+    counts = _pieces(footprint, tile, order, False).groupBy("col", "row").agg(F.count("*").alias("_n"))
     hot = counts.where(F.col("_n") > fan_in).select("col", "row")
     pieces = _pieces(blocks, tile, order, True)
     if hot.isEmpty():

@@ -8,7 +8,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rastertable.grid import Grid
-from rastertable.operators.assemble import assemble_scenes, file_headers, scene_headers
+from rastertable.operators.assemble import (
+    assemble_scenes, block_frame, file_headers, scene_headers,
+)
 from rastertable.operators.layout import (
     collect_metadata, place_on_grid, pyramid_level, reproject_nn, target_keys_for, tile_to_layout,
 )
@@ -50,7 +52,8 @@ def ingest(
     placed = place_on_grid(scenes, grid, scene_size).withColumn(
         "ord", F.struct("i", "j", "block_x", "block_y")
     )
-    tiles = tile_to_layout(placed, grid, "ord")
+    footprint = place_on_grid(block_frame(headers, block_size, scene_size), grid, scene_size)
+    tiles = tile_to_layout(placed, grid, "ord", footprint=footprint)
     layers.write_layer(tiles, catalog, layer, 0, clustered=True)
     layers.write_metadata(meta, catalog)
     layers.write_attributes(split_extents(headers), catalog, layer, 0)
