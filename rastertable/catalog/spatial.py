@@ -236,8 +236,10 @@ def _tm_sql(source: str, keys: str) -> str:
     CAST(floor(uy * 1000 + 0.5) AS BIGINT) AS uy FROM utm""",
 )
 def project_utm33(spark, sf):
-    x, y = geo.project(F.col("lon"), F.col("lat"), "EPSG:32633")
-    return X.lonlat(spark, sf).select("id", _milli(x)("ux"), _milli(y)("uy"))
+    there = geo.reproject_columns(
+        X.lonlat(spark, sf), F.col("lon"), F.col("lat"), "EPSG:4326", "EPSG:32633", ("x", "y")
+    )
+    return there.select("id", _milli(F.col("x"))("ux"), _milli(F.col("y"))("uy"))
 
 
 @query(
@@ -247,11 +249,15 @@ def project_utm33(spark, sf):
 )
 def unproject_utm33(spark, sf):
     """Forward and back again: the original coordinates to 1e-7 degree."""
-    x, y = geo.project(F.col("lon"), F.col("lat"), "EPSG:32633")
-    there = X.lonlat(spark, sf).select("id", x.alias("x"), y.alias("y"))
-    lon, lat = geo.unproject(F.col("x"), F.col("y"), "EPSG:32633")
-    return there.select(
-        "id", F.floor(lon * 10000000 + 0.5).alias("lon7"), F.floor(lat * 10000000 + 0.5).alias("lat7")
+    there = geo.reproject_columns(
+        X.lonlat(spark, sf), F.col("lon"), F.col("lat"), "EPSG:4326", "EPSG:32633", ("x", "y")
+    )
+    back = geo.reproject_columns(
+        there, F.col("x"), F.col("y"), "EPSG:32633", "EPSG:4326", ("lon2", "lat2")
+    )
+    return back.select(
+        "id", F.floor(F.col("lon2") * 10000000 + 0.5).alias("lon7"),
+        F.floor(F.col("lat2") * 10000000 + 0.5).alias("lat7"),
     )
 
 

@@ -322,6 +322,23 @@ class _Stages:
         return F.col(name)
 
 
+def _multiples(xi, eta, m, hold):
+    """(sin, cos, sinh, cosh) of 2j times the arguments, j = 1..4.
+
+    Four function calls in all; the higher multiples follow from the angle
+    sums.
+    """
+    s1, c1 = hold(m.sin(xi * 2)), hold(m.cos(xi * 2))
+    h1, k1 = hold(m.sinh(eta * 2)), hold(m.cosh(eta * 2))
+    s, c, h, k = s1, c1, h1, k1
+    out = [(s, c, h, k)]
+    for _ in range(3):
+        s, c = hold(s * c1 + c * s1), hold(c * c1 - s * s1)
+        h, k = hold(h * k1 + k * h1), hold(k * k1 + h * h1)
+        out.append((s, c, h, k))
+    return out
+
+
 def project(lon, lat, crs: str, m=F, hold=_keep):
     """Longitude/latitude in degrees to map x, y.
 
@@ -345,9 +362,9 @@ def project(lon, lat, crs: str, m=F, hold=_keep):
     xi = hold(m.atan2(t, m.cos(dl)))
     eta = hold(m.atanh(m.sin(dl) / m.sqrt(t * t + 1)))
     x, y = eta, xi
-    for j, a in enumerate(fwd, start=1):
-        x = x + m.cos(xi * (2 * j)) * m.sinh(eta * (2 * j)) * a
-        y = y + m.sin(xi * (2 * j)) * m.cosh(eta * (2 * j)) * a
+    for a, (s, c, sh, ch) in zip(fwd, _multiples(xi, eta, m, hold)):
+        x = x + c * sh * a
+        y = y + s * ch * a
     return x * (UTM_K0 * radius) + UTM_E0, y * (UTM_K0 * radius)
 
 
@@ -366,9 +383,9 @@ def unproject(x, y, crs: str, m=F, hold=_keep):
     xi0 = hold(y / (UTM_K0 * radius))
     eta0 = hold((x - UTM_E0) / (UTM_K0 * radius))
     xi, eta = xi0, eta0
-    for j, b in enumerate(inv, start=1):
-        xi = xi - m.sin(xi0 * (2 * j)) * m.cosh(eta0 * (2 * j)) * b
-        eta = eta - m.cos(xi0 * (2 * j)) * m.sinh(eta0 * (2 * j)) * b
+    for b, (s, c, sh, ch) in zip(inv, _multiples(xi0, eta0, m, hold)):
+        xi = xi - s * ch * b
+        eta = eta - c * sh * b
     xi, eta = hold(xi), hold(eta)
     chi = hold(m.asin(m.sin(xi) / m.cosh(eta)))
     phi = chi
