@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the same tables."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -14,11 +16,15 @@ QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
+# The smallest scale at which no query is empty.
+QUERY_DIR = os.environ.get("TEST_QUERY_DIR", "/root/testdata/sf0.01")
+
+
 @pytest.fixture(scope="module")
-def duck(sf_dir):
+def duck():
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{QUERY_DIR}/{t}.parquet'")
     yield con
     con.close()
 
@@ -28,8 +34,8 @@ def key(row):
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_matches_sql(spark, duck, sf_dir, name):
-    df = QUERIES[name](spark, sf_dir)
+def test_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, QUERY_DIR)
     cols = sorted(df.columns)
     rel = duck.sql(SQL[name])
     assert cols == sorted(rel.columns)
