@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rastertable.llm import rules
+from rastertable.llm import bpe, langid, rules
 from rastertable.llm.sql import RULES_SQL
 from rastertable.llm.text import documents
 
@@ -17,8 +17,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir))
 
 
+def op7_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def byte_vocabulary(spark: SparkSession):
+    import public_tokenizers
+
+    return bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), byte_vocabulary(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op7_language_codes": op7_language_codes,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {

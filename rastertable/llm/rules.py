@@ -188,6 +188,39 @@ SCHEMA = (
 )
 
 
+def _rate(text: bytes | None, lang: str, ref: dict, p: RuleParams) -> tuple:
+    """The result columns of one document but its id."""
+    text = text or b""
+    words = text.split()
+    n = len(words)
+    classes = _classes(text)
+    n_chars, n_repeat = int(classes.sum()), _repeat_words(words)
+    failed = n < 50 or 100 * n_repeat > 50 * n
+    ref_classes, common, ref_words = ref.get(lang, ref.get(None)) or (np.zeros(N_CLASSES), {}, np.zeros(1))
+    d_class = d_word = 0.0
+    if n_chars >= p.min_chars:
+        d_class = js_distance(classes / n_chars, ref_classes)
+    if n >= p.min_words:
+        bins = np.zeros(len(ref_words))
+        for w, c in Counter(text.lower().split()).items():
+            bins[common.get(w, -1)] += c
+        d_word = js_distance(bins / n, ref_words)
+    return (
+        n,
+        n_chars - int(classes[3]),
+        sum(text.count(s) for s in SYMBOLS),
+        _dup_lines(text),
+        n_repeat,
+        failed,
+        not failed and d_class <= p.max_class_distance and d_word <= p.max_word_distance,
+        round(d_class, 6),
+        round(d_word, 6),
+    )
+
+
+KEPT = 6
+
+
 def quality_rules(docs: DataFrame, params: RuleParams | None = None) -> DataFrame:
     """One row per document: base counts, both distances and the verdict."""
     p = params or RuleParams()
@@ -196,37 +229,7 @@ def quality_rules(docs: DataFrame, params: RuleParams | None = None) -> DataFram
     def rate(batches):
         for batch in batches:
             ids, texts, langs = (batch.column(k) for k in range(3))
-            rows = []
-            for text, lang in zip(texts.to_pylist(), langs.to_pylist()):
-                text = text or b""
-                words = text.split()
-                n = len(words)
-                classes = _classes(text)
-                inside = np.bincount(CLASS_OF_BYTE[np.frombuffer(b"".join(words), np.uint8)], minlength=N_CLASSES + 1)[:N_CLASSES]
-                n_chars, n_repeat = int(classes.sum()), _repeat_words(words)
-                failed = n < 50 or 100 * n_repeat > 50 * n
-                ref_classes, common, ref_words = ref.get(lang, ref.get(None)) or (np.zeros(N_CLASSES), {}, np.zeros(1))
-                d_class = d_word = 0.0
-                if n_chars >= p.min_chars:
-                    d_class = js_distance(classes / n_chars, ref_classes)
-                if n >= p.min_words:
-                    bins = np.zeros(len(ref_words))
-                    for w, c in Counter(text.lower().split()).items():
-                        bins[common.get(w, -1)] += c
-                    d_word = js_distance(bins / n, ref_words)
-                rows.append(
-                    (
-                        n,
-                        int(inside.sum()),
-                        sum(map(text.count, (bytes([s]) for s in SYMBOLS))),
-                        _dup_lines(text),
-                        n_repeat,
-                        failed,
-                        not failed and d_class <= p.max_class_distance and d_word <= p.max_word_distance,
-                        round(d_class, 6),
-                        round(d_word, 6),
-                    )
-                )
+            rows = [_rate(*x, ref, p) for x in zip(texts.to_pylist(), langs.to_pylist())]
             cols = list(zip(*rows)) if rows else [()] * 9
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             arrays = [ids, *(pa.array(c, t) for c, t in zip(cols, kinds))]
@@ -237,3 +240,19 @@ def quality_rules(docs: DataFrame, params: RuleParams | None = None) -> DataFram
         rate,
         SCHEMA,
     )
+
+
+def keep_good(docs: DataFrame, params: RuleParams | None = None) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    p = params or RuleParams()
+    ref = references(docs, p)
+    text_at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
+
+    def keep(batches):
+        for batch in batches:
+            texts = batch.column(text_at).cast(pa.binary()).to_pylist()
+            langs = batch.column(lang_at).to_pylist()
+            good = [_rate(t, g or "", ref, p)[KEPT] for t, g in zip(texts, langs)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return map_arrow(docs, keep, docs.schema)
