@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rastertable.llm import bpe, langid, rules
-from rastertable.llm.sql import RULES_SQL
+from rastertable.llm import bpe, langid, neardup, rules
+from rastertable.llm.sql import NEAR_DUPLICATES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir))
 
 
+def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("group_key")
+
+
 def op7_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -33,12 +37,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_tensored_minhash": op3_tensored_minhash,
     "op7_language_codes": op7_language_codes,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": RULES_SQL,
+    "op3_tensored_minhash": NEAR_DUPLICATES_SQL,
 }
 
 

@@ -92,3 +92,36 @@ FROM flat
 
 
 RULES_SQL = rules_sql()
+
+
+def near_duplicates_sql(percent: int = 85, shingle: int = 5) -> str:
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words(lowered("coalesce(text, '')"))} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {shingle - 1}), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {shingle - 2})) AS i FROM d WHERE len(w) >= {shingle})
+  UNION ALL
+  SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND {shingle - 1}
+),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+),
+link AS (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= {percent} * (na.n + nb.n - c)
+),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT reach.a, e.b FROM reach JOIN both_ways e ON reach.b = e.a
+),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM comp LEFT JOIN n USING (doc_id)
+"""
+
+
+NEAR_DUPLICATES_SQL = near_duplicates_sql()
