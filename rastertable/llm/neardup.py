@@ -9,9 +9,9 @@ keys are formed.
 
 Equal sets are one node, so exact copies are never paired.  Within a table
 bucket every node is compared with one hub; buckets whose other members are
-not all in one component are then compared member by member, in blocks of
-hubs, so no bucket size loses a link that the tables found.  Every link is
-confirmed on full sets, which only nodes with a candidate ship (a bounded
+not all in one component are then compared member by member, in cells of
+bounded size, so no bucket size loses a link that the tables found.  Every link
+is confirmed on full sets, which only nodes with a candidate ship (a bounded
 filter, then an exact join).  With the defaults a pair at the threshold of
 0.85 shares no table with probability 1.5e-4, at 0.9 with 4e-6.
 
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,6 @@ class NearDupParams:
     percent: int = 85
     bands: int = 10
     rows: int = 3
-    hubs_per_block: int = 64
 
 
 def shingle_set(words: list[bytes], hashes: WordHashes, size: int) -> np.ndarray:
@@ -128,14 +128,11 @@ def table_keys(nodes: DataFrame, p: NearDupParams) -> DataFrame:
     )
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, p: NearDupParams) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough."""
-    pairs = cut(pairs.distinct())
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(
-        # The first 8 bytes of the digest, as a signed number: what the filter below sees.
-        F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long").alias("h")
-    )
-    bits = docs.sparkSession.sparkContext.broadcast(bloom.build(involved, "h"))
+def candidate_sets(docs: DataFrame, wanted: DataFrame, p: NearDupParams) -> DataFrame:
+    """(node, shingles) of the wanted nodes: a bounded filter where texts are read, then an exact join."""
+    # The first 8 bytes of the digest, as a signed number: what the filter sees below.
+    prefix = wanted.select(F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long").alias("h"))
+    bits = docs.sparkSession.sparkContext.broadcast(bloom.build(prefix, "h"))
 
     def run(batches):
         seen: set[bytes] = set()
@@ -167,56 +164,138 @@ def _confirm(docs: DataFrame, pairs: DataFrame, p: NearDupParams) -> DataFrame:
             yield batch()
 
     found = map_arrow(docs.select(F.col("doc_id").cast("long"), raw_text().alias("text")), run, "node binary, shingles array<bigint>")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # Copies of a set may come from several tasks; they are equal, so one is enough.
-    sets = cut(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar enough."""
     of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     inter = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - inter
-    size_ok = (100 * F.least(F.size("sa"), F.size("sb")) >= p.percent * F.greatest(F.size("sa"), F.size("sb")))
-    return (
-        pairs.join(of_a, "a").join(of_b, "b").where(size_ok).where(100 * inter >= p.percent * union).select("a", "b")
-    )
+    size_ok = 100 * F.least(F.size("sa"), F.size("sb")) >= p.percent * F.greatest(F.size("sa"), F.size("sb"))
+    joined = pairs.distinct().join(of_a, "a").join(of_b, "b")
+    return joined.where(size_ok).where(100 * inter >= p.percent * union).select("a", "b")
 
 
 def links(docs: DataFrame, nodes: DataFrame, p: NearDupParams) -> DataFrame:
     """(node, root) of every node with a confirmed link."""
     keys = cut(table_keys(nodes, p))
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    members = keys.join(hubs, "key").where("node <> hub")
-    star = members.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    edges = cut(_confirm(docs, star, p))
+    members = cut(keys.join(hubs, "key"))
+    sets = cut(candidate_sets(docs, members.select("node").distinct(), p))
+    spokes = members.where("node <> hub")
+    star = spokes.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    edges = cut(_confirm(star, sets, p))
     roots = components(edges)
-    # What is left: buckets of three and more whose members besides the hub are not yet one component.
-    rest = cut(members.where("n > 2").select("key", "node"))
-    rest = cut(_open(rest, roots))
-    most = rest.groupBy("key").count().agg(F.max("count")).first()[0] or 0
-    blocks = -(-most // p.hubs_per_block)
-    for block in range(blocks):
-        # Each block of hubs meets all open members of its buckets; after the last, every pair has met.
-        hub = rest.where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block)
-        hub = hub.select("key", F.col("node").alias("h"), F.col("root").alias("hr"))
-        pairs = (
-            rest.join(hub, "key")
-            .where("root <> hr")
-            .select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"))
-        )
-        more = cut(_confirm(docs, pairs, p))
-        if not more.isEmpty():
-            edges = cut(edges.union(more))
-            roots = components(edges)
-            rest = cut(_open(rest, roots))
-        if rest.isEmpty():
-            break
-    return roots
-
-
-def _open(rest: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, with their roots."""
-    now = rest.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    return now.join(several, "key", "left_semi")
+    # What is left: buckets whose members besides the hub are not yet one component.
+    rest = spokes.where("n > 2").select("key", "node")
+    now = rest.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("first")).where("lo <> hi")
+    left = cut(now.join(several, "key").select("node", "root", "first"))
+    if left.isEmpty():
+        return roots
+    # Buckets that share members form one group; groups are compared in cells of bounded size.
+    group = components(left.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    group = group.select("node", F.col("root").alias("grp"))
+    rows = left.select("node", "root").distinct().join(group, "node").join(sets, "node")
+    more = compare_in_cells(cut(rows), p)
+    return components(edges.union(more))
+
+
+#: Shingles that one side of a cell holds at about most (4 MB).
+CELL_SHINGLES = 500_000
+
+
+def compare_in_cells(rows: DataFrame, p: NearDupParams) -> DataFrame:
+    """Links (a, b) between nodes of one group and different roots: (node, root, grp, shingles).
+
+    Sizes of linked sets differ by less than ``percent``, so a node meets only
+    its own and the next size class.  Each class of a group is dealt into
+    chunks of bounded total size; a cell holds two chunks, and every pair of
+    chunks that can hold a link has a cell.  Within a cell 64 sets at a time
+    become one bit mask per shingle, against which all others are counted.
+    """
+    base = float(np.log(100 / p.percent))
+    rows = rows.withColumn("cls", F.floor(F.log(F.size("shingles").cast("double")) / base).cast("int"))
+    sizes = rows.groupBy("grp", "cls").agg(F.ceil(F.sum(F.size("shingles")) / CELL_SHINGLES).cast("int").alias("chunks"))
+    near = sizes.select("grp", F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls"), F.col("cls").alias("other"), "chunks")
+    near = near.groupBy("grp", "cls").agg(
+        *[F.coalesce(F.max(F.when(F.col("other") - F.col("cls") == d, F.col("chunks"))), F.lit(0)).alias(c) for d, c in ((-1, "lower"), (0, "own"), (1, "upper"))]
+    )
+    chunk = F.pmod(F.xxhash64("node"), F.col("own")).cast("int")
+
+    def cells(count: str, make) -> F.Column:
+        return F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), make)).otherwise(F.array())
+
+    def cell(cls, i, upper, j, side):
+        return F.struct(cls.alias("cls"), i.alias("i"), upper.alias("up"), j.alias("j"), side.alias("side"))
+
+    c, none = F.col("cls"), F.lit(0)
+    dealt = rows.join(near, ["grp", "cls"]).withColumn("chunk", chunk)
+    k = F.col("chunk")
+    dealt = dealt.withColumn(
+        "cell",
+        F.explode(
+            F.concat(
+                cells("own", lambda j: cell(c, F.least(k, j), none, F.greatest(k, j), F.when(k <= j, 0).otherwise(1))),
+                cells("upper", lambda j: cell(c, k, F.lit(1), j, F.lit(0))),
+                cells("lower", lambda j: cell(c - 1, j, F.lit(1), k, F.lit(1))),
+            )
+        ),
+    )
+    dealt = dealt.select("grp", "cell.cls", "cell.i", "cell.up", "cell.j", "cell.side", "node", "root", "shingles")
+    return dealt.groupBy("grp", "cls", "i", "up", "j").applyInArrow(lambda t: _compare(t, p.percent), "a binary, b binary")
+
+
+def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    sets = table.column("shingles").combine_chunks()
+    return sets.flatten().to_numpy(zero_copy_only=False).view(U64), pa.compute.list_value_length(sets).to_numpy().astype(np.int64)
+
+
+def _compare(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one cell that join different roots, as a spanning forest."""
+    same = table.column("up")[0].as_py() == 0 and table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    side = table.column("side").to_numpy()
+    left, right = (table, table) if same else (table.filter(pa.array(side == 0)), table.filter(pa.array(side == 1)))
+    found: list[tuple[bytes, bytes]] = []
+    if len(left) and len(right):
+        parent: dict[bytes, bytes] = {}
+
+        def top(x):
+            while parent.get(x, x) != x:
+                parent[x] = x = parent.get(parent[x], parent[x])
+            return x
+
+        (fl, nl), (fr, nr) = _flat(left), _flat(right)
+        at = np.cumsum(nl) - nl
+        starts = np.cumsum(nr) - nr
+        names_l, names_r = left.column("node").to_pylist(), right.column("node").to_pylist()
+        root_l, root_r = left.column("root").to_pylist(), right.column("root").to_pylist()
+        for s in range(0, len(nl), 64):
+            n = min(64, len(nl) - s)
+            values = fl[at[s] : at[s + n - 1] + nl[s + n - 1]]
+            mask = np.repeat(U64(1) << np.arange(n, dtype=U64), nl[s : s + n])
+            order = np.argsort(values, kind="stable")
+            values, mask = values[order], mask[order]
+            first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+            values, mask = values[first], np.bitwise_or.reduceat(mask, first)
+            for t in range(0, len(nr), 256):
+                m = min(256, len(nr) - t)
+                other = fr[starts[t] : starts[t + m - 1] + nr[t + m - 1]]
+                pos = np.minimum(np.searchsorted(values, other), len(values) - 1)
+                hit = np.where(values[pos] == other, mask[pos], U64(0))
+                bits = np.unpackbits(hit.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :n]
+                inter = np.add.reduceat(bits, starts[t : t + m] - starts[t], axis=0, dtype=np.int64)
+                union = nr[t : t + m, None] + nl[None, s : s + n] - inter
+                for y, x in np.argwhere(100 * inter >= percent * union):
+                    a, b = top(root_l[s + x]), top(root_r[t + y])
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        found.append((names_l[s + x], names_r[t + y]))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
 def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:
