@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rastertable.llm import bpe, langid, neardup, rules
-from rastertable.llm.sql import NEAR_DUPLICATES_SQL, RULES_SQL
+from rastertable.llm import bpe, langid, lines, neardup, rules
+from rastertable.llm.sql import LINES_SQL, NEAR_DUPLICATES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,12 @@ def op7_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op8_line_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_deleted", "n_runs", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def byte_vocabulary(spark: SparkSession):
     import public_tokenizers
 
@@ -39,12 +46,14 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op7_language_codes": op7_language_codes,
+    "op8_line_suffixes": op8_line_suffixes,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": RULES_SQL,
     "op3_tensored_minhash": NEAR_DUPLICATES_SQL,
+    "op8_line_suffixes": LINES_SQL,
 }
 
 

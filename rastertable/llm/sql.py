@@ -125,3 +125,39 @@ FROM comp LEFT JOIN n USING (doc_id)
 
 
 NEAR_DUPLICATES_SQL = near_duplicates_sql()
+
+
+def lines_sql(min_chars: int = 40) -> str:
+    sizes = [2**t for t in range(10) if t == 0 or 2 ** (t - 1) < min_chars]
+    return f"""
+WITH raw AS (
+  SELECT doc_id, text IS NULL AS missing, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS raw FROM documents
+),
+t AS (SELECT doc_id, missing, l, raw, trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM raw),
+ln AS (SELECT doc_id, raw, t, row_number() OVER (PARTITION BY doc_id ORDER BY raw) - 1 AS line FROM t WHERE t <> ''),
+doc AS (SELECT doc_id, list(t ORDER BY line) AS ts FROM ln GROUP BY doc_id),
+blk AS (
+  SELECT doc_id, i, d, list_slice(ts, i + 1, i + d) AS b FROM (
+    SELECT doc_id, ts, d, unnest(range(len(ts) - d + 1)) AS i FROM doc, (SELECT unnest({sizes}) AS d) WHERE len(ts) >= d
+  )
+),
+cop AS (
+  SELECT doc_id, i, d FROM blk
+  QUALIFY row_number() OVER (PARTITION BY d, b ORDER BY doc_id, i) > 1 AND length(array_to_string(b, '')) >= {min_chars}
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + d)) AS line FROM cop),
+runs AS (
+  SELECT doc_id, count(*) AS n_runs FROM gone g WHERE NOT EXISTS (SELECT 1 FROM gone h WHERE h.doc_id = g.doc_id AND h.line = g.line - 1)
+  GROUP BY doc_id
+),
+gone_raw AS (SELECT doc_id, raw FROM gone JOIN ln USING (doc_id, line))
+SELECT t.doc_id, (CASE WHEN any_value(missing) THEN 0 ELSE count(*) END)::BIGINT AS n_lines, count(g.raw)::BIGINT AS n_deleted,
+  coalesce(any_value(n_runs), 0)::BIGINT AS n_runs,
+  CASE WHEN NOT any_value(missing) THEN sha256(coalesce(string_agg(l, chr(10) ORDER BY t.raw) FILTER (WHERE g.raw IS NULL), '')) END AS text_sha256
+FROM t LEFT JOIN gone_raw g ON g.doc_id = t.doc_id AND g.raw = t.raw LEFT JOIN runs ON runs.doc_id = t.doc_id
+GROUP BY t.doc_id
+"""
+
+
+LINES_SQL = lines_sql()
