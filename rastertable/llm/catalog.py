@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertable.llm import bpe, langid, lines, neardup, rules
+from rastertable.llm import bpe, langid, lines, neardup, rules, templates
 from rastertable.llm.sql import LINES_SQL, NEAR_DUPLICATES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
@@ -42,12 +42,17 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), byte_vocabulary(spark))
 
 
+def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op7_language_codes": op7_language_codes,
     "op8_line_suffixes": op8_line_suffixes,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_templates": op10_templates,
 }
 
 ORACLES: dict[str, str] = {
