@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertable.llm import bpe, langid, lines, neardup, rules, templates
+from rastertable.llm import bpe, langid, lines, mixing, neardup, rules, templates
 from rastertable.llm.sql import LINES_SQL, NEAR_DUPLICATES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
@@ -22,6 +22,10 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir)).drop("group_key")
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(documents(spark, sf_dir))
+
+
 def op7_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -49,6 +53,7 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_tensored_minhash": op3_tensored_minhash,
+    "op6_context_mixing": op6_context_mixing,
     "op7_language_codes": op7_language_codes,
     "op8_line_suffixes": op8_line_suffixes,
     "op9_byte_bpe": op9_byte_bpe,
