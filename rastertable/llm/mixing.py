@@ -51,7 +51,7 @@ class MixParams:
     table_bits: int = 21
     top_words: int = 1 << 19
     tuning_share: int = 8
-    rate: float = 0.2
+    rate: float = 0.3
     buckets: int = 33
 
 
@@ -202,14 +202,15 @@ class Mixer:
 
 
 def _online(batches, mixer: Mixer):
-    """Learn weights from tuning windows; one row per weight: (gate, input, mass, mass * weight)."""
+    """Learn weights from tuning windows; one row per weight: (gate, input, mass, mass * mean weight)."""
     mass = np.zeros(GATES)
     # Steps are scaled by the curvature seen lately.
     curvature = np.full(mixer.weights.shape, 1e-3)
+    path, steps = np.zeros(mixer.weights.shape), 0
     for b in batches:
         all_w, all_n = b.column(0).to_numpy().view(U64), b.column(1).to_numpy()
-        for s in range(0, len(all_w), 1024):
-            w, n = all_w[s : s + 1024], all_n[s : s + 1024].astype(float)
+        for s in range(0, len(all_w), 256):
+            w, n = all_w[s : s + 256], all_n[s : s + 256].astype(float)
             for bit in range(8):
                 x, gate = mixer.inputs(w, bit)
                 p1 = 1 / (1 + np.exp(-mixer.mixed(x, gate).astype(float)))
@@ -218,12 +219,13 @@ def _online(batches, mixer: Mixer):
                 now = np.unique(gate)
                 for k in range(x.shape[1]):
                     g, h = np.bincount(gate, pull * x[:, k], GATES)[now], np.bincount(gate, bend * x[:, k] ** 2, GATES)[now]
-                    curvature[now, k] = 0.9 * curvature[now, k] + h
+                    curvature[now, k] = 0.99 * curvature[now, k] + h
                     mixer.weights[now, k] += np.clip(mixer.p.rate * g / curvature[now, k], -0.2, 0.2)
+            path, steps = path + mixer.weights, steps + 1
     gate, inp = np.divmod(np.arange(mixer.weights.size), mixer.weights.shape[1])
     m = mass[gate]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(gate, pa.int32()), pa.array(inp, pa.int32()), pa.array(m), pa.array(m * mixer.weights.ravel().astype(float))],
+        [pa.array(gate, pa.int32()), pa.array(inp, pa.int32()), pa.array(m), pa.array(m * (path / max(steps, 1)).ravel())],
         names=["gate", "input", "mass", "total"],
     )
 
