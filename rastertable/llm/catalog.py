@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertable.llm import bpe, langid, lines, mixing, neardup, rules, templates
+from rastertable.llm import bpe, langid, lines, mixing, neardup, ordinal, rules, templates, toxicity
 from rastertable.llm.sql import LINES_SQL, NEAR_DUPLICATES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.score(documents(spark, sf_dir), ordinal.grades(labels(spark, sf_dir)))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir))
 
@@ -22,6 +30,10 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir)).drop("group_key")
 
 
+def op5_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(documents(spark, sf_dir))
 
@@ -51,8 +63,10 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ordinal_quality": op1_ordinal_quality,
     "op2_quality_rules": op2_quality_rules,
     "op3_tensored_minhash": op3_tensored_minhash,
+    "op5_pattern_grammar": op5_pattern_grammar,
     "op6_context_mixing": op6_context_mixing,
     "op7_language_codes": op7_language_codes,
     "op8_line_suffixes": op8_line_suffixes,
