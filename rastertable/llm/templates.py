@@ -200,6 +200,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: TemplateParams |
     # Consecutive windows of one diagonal; a group holds at most the windows of one item.
     diag = ["dk", "ik", "diag"]
     hits = hits.withColumn("island", F.col("ipos") - F.row_number().over(Window.partitionBy(*diag).orderBy("ipos")))
+    # Read twice below: written once, so that texts are read once.
+    hits = cut(hits)
     hits = hits.withColumn("island_same", F.col("ipos") - F.row_number().over(Window.partitionBy(*diag, "same").orderBy("ipos")))
     pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")))))
     need = F.least(F.lit(p.run), F.col("total"))
