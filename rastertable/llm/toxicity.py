@@ -55,7 +55,7 @@ PREFIXES = (4, 5, 6)
 class ToxicParams:
     per_class: int = 20_000
     min_toxic: int = 8
-    min_log_odds: float = 2.5
+    min_log_odds: float = 3.5
     min_contexts: int = 8
     candidates: int = 20_000
     lexicon: int = 5_000
