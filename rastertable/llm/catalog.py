@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertable.llm import bpe, langid, lines, mixing, neardup, ordinal, rules, templates, toxicity
+from rastertable.llm import bpe, langid, lines, mixing, neardup, ordinal, pii, rules, templates, toxicity
 from rastertable.llm.sql import LINES_SQL, NEAR_DUPLICATES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
@@ -30,6 +30,10 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir)).drop("group_key")
 
 
+def op4_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op5_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op1_ordinal_quality": op1_ordinal_quality,
     "op2_quality_rules": op2_quality_rules,
     "op3_tensored_minhash": op3_tensored_minhash,
+    "op4_weak_pii": op4_weak_pii,
     "op5_pattern_grammar": op5_pattern_grammar,
     "op6_context_mixing": op6_context_mixing,
     "op7_language_codes": op7_language_codes,
