@@ -1,18 +1,53 @@
-"""Stages that turn raw documents into token ids."""
+"""Stages that turn raw documents into token ids.
+
+Every stage takes the documents that its predecessor kept; all but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rastertable.llm import rules
+from rastertable.llm import bpe, lines, neardup, rules, templates
+from rastertable.llm.catalog import byte_vocabulary
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality rules reject."""
     return rules.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete later copies of repeated line runs; n_chars follows the text."""
+    out = lines.dedup_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates."""
+    return neardup.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold benchmark items."""
+    return templates.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digests of ids and decoded text, and the ids."""
+    return bpe.round_trip(docs, byte_vocabulary(spark), keep_ids=True)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("byte_bpe", byte_bpe),
+]
+
+#: SQL cannot express the last stage; tests compare run() with a plain Python version.
 ORACLE_SQL = None
 
 

@@ -292,8 +292,8 @@ def decode_batches(batches, vocabulary):
         )
 
 
-def digest_batches(batches):
-    """(doc_id, ids, decoded) batches to counts and digests."""
+def digest_batches(batches, keep_ids: bool = False):
+    """(doc_id, ids, decoded) batches to counts and digests, with the ids if asked for."""
     for batch in batches:
         ids = batch.column(1)
         joined = pc.binary_join(ids.cast(pa.list_(pa.string())), " ").to_pylist()
@@ -303,8 +303,9 @@ def digest_batches(batches):
                 pc.list_value_length(ids).cast(pa.int64()),
                 pa.array([hashlib.sha256((j or "").encode()).hexdigest() for j in joined], pa.string()),
                 pa.array([hashlib.sha256(d).hexdigest() for d in batch.column(2).to_pylist()], pa.string()),
+                *([ids] if keep_ids else []),
             ],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])],
         )
 
 
@@ -333,9 +334,9 @@ def decode(encoded: DataFrame, vocab) -> DataFrame:
     )
 
 
-def round_trip(docs: DataFrame, vocab) -> DataFrame:
-    """Encode and decode every document in one pass; counts and digests."""
+def round_trip(docs: DataFrame, vocab, keep_ids: bool = False) -> DataFrame:
+    """Encode and decode every document in one pass; counts and digests, with the ids if asked for."""
     return _texts(docs).mapInArrow(
-        lambda b: digest_batches(decode_batches(encode_batches(b, vocab), vocab)),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        lambda b: digest_batches(decode_batches(encode_batches(b, vocab), vocab), keep_ids),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids,
     )

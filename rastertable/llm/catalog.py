@@ -27,7 +27,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(documents(spark, sf_dir)).drop("group_key")
+    return neardup.near_duplicates(documents(spark, sf_dir))
 
 
 def op4_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,12 +30,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastertable.llm import bloom
 from rastertable.llm.components import components
-from rastertable.llm.text import U64, WordHashes, cut, map_arrow, mix64, odd_constants, raw_text, window_hashes
+from rastertable.llm.text import U64, WordHashes, cut, doc_key, map_arrow, mix64, odd_constants, raw_text, window_hashes
 
 
 @dataclass(frozen=True)
@@ -69,12 +69,10 @@ def _band_keys(shingles: np.ndarray, p: NearDupParams, mult: np.ndarray, add: np
     return key
 
 
-def _sets(batches, p: NearDupParams):
-    """(doc_id, text) batches to (doc_id, words lowered, set) triples."""
-    hashes = WordHashes()
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            yield doc_id, shingle_set((text or b"").lower().split(), hashes, p.shingle)
+def _sets(texts, hashes: WordHashes, p: NearDupParams):
+    """The set of each text."""
+    for text in texts.to_pylist():
+        yield shingle_set((text or b"").lower().split(), hashes, p.shingle)
 
 
 def _node(shingles: np.ndarray) -> bytes:
@@ -82,31 +80,29 @@ def _node(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, p: NearDupParams) -> DataFrame:
-    """doc_id, node (digest of the set; null if empty), n_shingles, band keys as bytes."""
+    """doc_id, dk, node (digest of the set; null if empty), n_shingles, band keys as bytes."""
     mult, add = odd_constants(2 * p.bands * p.rows, 3), odd_constants(2 * p.bands * p.rows, 5)
 
     def run(batches):
-        rows = []
-
-        def batch():
-            doc_id, node, n, bands = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(doc_id, pa.int64()), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(bands, pa.binary())],
-                names=["doc_id", "node", "n_shingles", "bands"],
+        hashes = WordHashes()
+        for batch in batches:
+            sets = list(_sets(batch.column(2), hashes, p))
+            bands = [_band_keys(s, p, mult, add).astype("<i8").tobytes() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([_node(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array(list(map(len, sets)), pa.int64()),
+                    pa.array(bands, pa.binary()),
+                ],
+                names=["doc_id", "dk", "node", "n_shingles", "bands"],
             )
 
-        for doc_id, s in _sets(batches, p):
-            rows.append((doc_id, _node(s), len(s), _band_keys(s, p, mult, add).astype("<i8").tobytes()) if len(s) else (doc_id, None, 0, None))
-            if len(rows) == 4096:
-                yield batch()
-                rows.clear()
-        if rows:
-            yield batch()
-
     return map_arrow(
-        docs.select(F.col("doc_id").cast("long"), raw_text().alias("text")),
+        docs.select(F.col("doc_id").cast("long"), doc_key().alias("dk"), raw_text().alias("text")),
         run,
-        "doc_id long, node binary, n_shingles long, bands binary",
+        "doc_id long, dk long, node binary, n_shingles long, bands binary",
     )
 
 
@@ -146,8 +142,8 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: NearDupParams) -> Data
                 names=["node", "shingles"],
             )
 
-        size = 0
-        for _, s in _sets(batches, p):
+        size, hashes = 0, WordHashes()
+        for s in (s for b in batches for s in _sets(b.column(0), hashes, p)):
             if not len(s):
                 continue
             node = _node(s)
@@ -163,7 +159,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: NearDupParams) -> Data
         if rows:
             yield batch()
 
-    found = map_arrow(docs.select(F.col("doc_id").cast("long"), raw_text().alias("text")), run, "node binary, shingles array<bigint>")
+    found = map_arrow(docs.select(raw_text().alias("text")), run, "node binary, shingles array<bigint>")
     # Copies of a set may come from several tasks; they are equal, so one is enough.
     return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
@@ -298,23 +294,34 @@ def _compare(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
-def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept; plus ``group_key``.
-
-    ``group_key`` names the component even where ids repeat or are null; it is
-    null for empty sets.
-    """
-    p = params or NearDupParams()
+def _grouped(docs: DataFrame, p: NearDupParams) -> DataFrame:
+    """(doc_id, dk, n_shingles, root, component_id) per row; root and component_id are null for empty sets."""
     rows = cut(signatures(docs, p))
     nodes = cut(rows.where("node IS NOT NULL").groupBy("node", "bands").agg(F.min("doc_id").alias("first_id")))
     roots = links(docs, nodes, p)
     named = nodes.select("node", "first_id").join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = named.join(ids, "root").select("node", "root", "component_id")
-    return rows.join(of_node, "node", "left").select(
+    return rows.join(of_node, "node", "left").select("doc_id", "dk", "n_shingles", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    alone = F.col("root").isNull()
+    return _grouped(docs, params or NearDupParams()).select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(F.col("root").isNull(), True).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
-        F.col("root").alias("group_key"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, True).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
     )
+
+
+def keep_first(docs: DataFrame, params: NearDupParams | None = None) -> DataFrame:
+    """One document of each group, the one of least id, with all columns; empty texts stay."""
+    rows = cut(_grouped(docs, params or NearDupParams()))
+    # Ids may repeat within a group: of equal ids the least key stays, of equal rows the first.
+    best = rows.where(F.col("root").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("dk").alias("dk"))
+    chosen = best.select("dk", F.lit(True).alias("once")).union(rows.where("root IS NULL").select("dk", F.lit(False)).distinct())
+    keyed = docs.select(F.struct("*").alias("row"), doc_key().alias("dk")).join(chosen, "dk")
+    copy = F.row_number().over(Window.partitionBy("dk").orderBy("dk"))
+    return keyed.withColumn("copy", copy).where(~F.col("once") | (F.col("copy") == 1)).select("row.*")
