@@ -200,8 +200,8 @@ def links(docs: DataFrame, nodes: DataFrame, p: NearDupParams) -> DataFrame:
     return components(edges.union(more))
 
 
-#: Shingles that one side of a cell holds at about most (4 MB).
-CELL_SHINGLES = 500_000
+#: Shingles that one side of a cell holds at about most (0.5 MB).
+CELL_SHINGLES = 60_000
 
 
 def compare_in_cells(rows: DataFrame, p: NearDupParams) -> DataFrame:
