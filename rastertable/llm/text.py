@@ -38,7 +38,15 @@ def cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    # A checkpoint that remembers its plan's constraints cannot be joined with
+    # itself ("key not found"), so none are derived while it is made.
+    conf, name = df.sparkSession.conf, "spark.sql.constraintPropagation.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return df.checkpoint()
+    finally:
+        conf.set(name, before)
 
 
 def id_text(doc_id: str = "doc_id") -> Column:
