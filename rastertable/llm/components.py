@@ -11,11 +11,12 @@ from rastertable.llm.text import cut
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge; root is some node of its component.
 
-    Each round every node of the contracted graph points to its least
-    neighbour or itself, two pointers are followed, and edges inside a group
-    vanish.  Groups at least halve their number of nodes in a round, so rounds
-    grow with the logarithm of a component; stars take one.  Every round is
-    written to the shared folder, and only counts reach the driver.
+    Nodes are digests, so their order is random.  Each round every node of the
+    contracted graph points to its least neighbour or itself, two pointers are
+    followed, and edges inside a group vanish.  In random order a constant
+    share of the nodes goes in each round, so rounds grow with the logarithm of
+    a component; stars take one.  Every round is written to the shared folder,
+    and only counts reach the driver.
     """
     edges = cut(edges.select("a", "b").where("a <> b").distinct())
     both = edges.union(edges.select("b", "a"))

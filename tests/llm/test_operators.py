@@ -74,7 +74,9 @@ def test_near_duplicates_of_large_groups(spark):
 
 def test_components_of_a_path(spark):
     n = 300
-    edges = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(1000, 1001)], "a long, b long"))
+    digest = lambda c: F.unhex(F.md5(c.cast("string")))
+    links = spark.range(n - 1).union(spark.range(1000, 1001))
+    edges = links.select(digest(F.col("id")).alias("a"), digest(F.col("id") + 1).alias("b"))
     found = components(edges).groupBy("root").count().collect()
     assert sorted(r["count"] for r in found) == [2, n]
 
@@ -133,9 +135,9 @@ def test_templates(spark, bench, edges, empty):
     ]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r["doc_id"]: r for r in templates.report(df, bench).collect()}
-    assert {i for i, r in got.items() if not r["kept"]} == {1, 2, 4}
+    assert {i for i, r in got.items() if not r["kept"]} == {1, 2, 4, 7}
     assert got[1]["item_id"] == 1 and got[4]["item_id"] == 2
-    assert [r["doc_id"] for r in templates.decontaminate(df, bench).orderBy("doc_id").collect()] == [3, 5, 6, 7]
+    assert [r["doc_id"] for r in templates.decontaminate(df, bench).orderBy("doc_id").collect()] == [3, 5, 6]
     assert templates.report(df, bench.where("false")).where("kept").count() == 7
     out = templates.report(edges, bench)
     assert out.where("kept").count() == N and templates.report(empty, bench).count() == 0
