@@ -50,9 +50,14 @@ class Grid:
 
     @staticmethod
     def zoom_for(cell: float, tile: int = 256, max_zoom: int = 30) -> int:
-        """Coarsest zoom whose cells are no larger than ``cell`` metres."""
+        """Coarsest zoom whose cells are no larger than ``cell`` metres.
+
+        Cells finer than those of ``max_zoom`` are an error.
+        """
         z = math.ceil(math.log2(2 * WORLD_HALF / (tile * cell)))
-        return max(0, min(max_zoom, z))
+        if z > max_zoom:
+            raise ValueError(f"cells of {cell} need zoom {z}, beyond {max_zoom}")
+        return max(0, z)
 
     def with_tile(self, tile: int) -> "Grid":
         return replace(self, tile=tile)

@@ -127,8 +127,8 @@ def assemble_scenes(
     Bands follow source order.  Short bands are padded with zeros to the scene
     size, and missing bands become zero bands: at the end (``pad='tail'``), or
     in the slot of the missing source (``pad='slot'``).  A scene with more than
-    ``total_bands`` bands, or a block outside the scene, is an error; nothing
-    is dropped.
+    ``total_bands`` bands, a block outside the scene, or two rows for one block
+    of a band is an error; nothing is dropped.
 
     A cell-free frame of all block positions, which carries the scene header
     and the first band of each file, is joined with the blocks on the block
@@ -179,11 +179,16 @@ def assemble_scenes(
     )
     stacked = tagged.groupBy(*key).agg(
         *[F.first(c).alias(c) for c in header],
+        F.greatest(F.lit(0), *[F.count_if(F.col("_k") == k) for k in range(total_bands)]).alias("_most"),
         *[
             F.first(F.when(F.col("_k") == k, F.col("_cells")), ignorenulls=True).alias(f"b{k}")
             for k in range(total_bands)
         ],
     )
+    twice = F.raise_error(
+        F.format_string("scene %d_%d has two rows of one band for block %d, %d", *[F.col(c) for c in key])
+    ).cast("boolean")
+    stacked = stacked.where(F.when(F.col("_most") > 1, twice).otherwise(F.lit(True)))
     cols = _block_side("block_x", block_size, scene_size)
     rows = _block_side("block_y", block_size, scene_size)
     zero = constant_cells(0, cols * rows, ctype)

@@ -13,6 +13,7 @@ from rastertable.operators.windows import (
     Uniform, hash_uniform, sample_windows, stitch, window_pieces,
 )
 from rastertable.schema import band_columns
+from rastertable.session import large_tiles
 from rastertable.sources import layers
 from rastertable.sources.samples import write_products, write_samples
 
@@ -103,7 +104,8 @@ def generate_samples(
     tiles = layers.read_layer(spark, catalog, layer, zoom)
     uniform = hash_uniform(seed) if randomize else None
     chips = chips_from_windows(windows, tiles, grid.tile, uniform, zscore, bands, positional)
-    write_samples(chips, path, gzip)
+    with large_tiles(spark):
+        write_samples(chips, path, gzip)
     stored = spark.read.parquet(path)
     if products:
         names = ("image", "ndvi", "mask", "image_z") if zscore else ("image", "ndvi", "mask")

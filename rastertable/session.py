@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Groups of whole tiles are large: aggregate a few in memory, then by sorting
@@ -20,3 +23,15 @@ def configure(spark: SparkSession, **extra: str) -> SparkSession:
     for key, value in {**LARGE_TILES, **extra}.items():
         spark.conf.set(key, value)
     return spark
+
+
+@contextmanager
+def large_tiles(spark: SparkSession) -> Iterator[None]:
+    """The settings for the time of a job; the session's own are put back."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_TILES}
+    configure(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

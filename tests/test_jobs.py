@@ -68,7 +68,7 @@ def test_ingest_layer(spark, sf_dir, catalog):
 def test_layer_is_clustered_and_pruned(spark, catalog):
     one = extract.get_tile(layers.read_layer(spark, catalog, "scenes", 0), 2, 3).select("b4")
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(layer" in plan
+    assert all("/tiles/layer=scenes/zoom=0/" in f for f in one.inputFiles())
     assert "EqualTo(col,2)" in plan and "EqualTo(z," in plan
     assert "b4" in plan.split("ReadSchema")[1] and "b5" not in plan.split("ReadSchema")[1]
     assert one.count() == 1
@@ -218,3 +218,74 @@ def test_batches_partition_the_layer(spark, catalog):
     assert sum(map(len, parts)) == n and len({r for p in parts for r in p}) == n
     with pytest.raises(ValueError):
         batch(tiles, 4, 4)
+
+
+def small_layer(spark, catalog, layer, bands, cell="int", value=0, commit=True, **mode):
+    row = (0, 0, *[[value + k] * 4 for k in range(bands)])
+    names = "col int, row int" + "".join(f", b{k} array<{cell}>" for k in range(bands))
+    layers.write_layer(spark.createDataFrame([row], names), catalog, layer, 0, **mode)
+    if commit:
+        box = (0.0, 0.0, 1.0, 1.0)
+        meta = (layer, 0, "EPSG:3857", "int32", box, box, 2, 0.5, 0.5, 0, 0, 0, 0, [f"B{k}" for k in range(bands)])
+        layers.write_metadata(spark.createDataFrame([meta], layers.LAYER_META), catalog, layer, 0)
+
+
+def test_layers_of_different_bands_share_a_catalog(spark, tmp_path):
+    path = str(tmp_path / "c")
+    for name, bands, cell in (("a_one", 1, "int"), ("001", 4, "int"), ("wide/one", 11, "int"), ("real", 2, "double")):
+        small_layer(spark, path, name, bands, cell, 1.5 if cell == "double" else 7)
+    for name, bands, cell in (("a_one", 1, "int"), ("001", 4, "int"), ("wide/one", 11, "int"), ("real", 2, "double")):
+        got = layers.read_layer(spark, path, name, 0)
+        assert [c for c in got.columns if c[0] == "b"] == [f"b{k}" for k in range(bands)]
+        (r,) = got.collect()
+        assert r["layer"] == name and r["b0"] == [1.5 if cell == "double" else 7] * 4
+
+
+def test_layers_are_not_doubled(spark, tmp_path):
+    path = str(tmp_path / "c")
+    small_layer(spark, path, "x", 1)
+    small_layer(spark, path, "y", 1)
+    with pytest.raises(FileExistsError):
+        small_layer(spark, path, "x", 1)
+    small_layer(spark, path, "x", 2, value=5, mode="overwrite")
+    (r,) = layers.read_layer(spark, path, "x", 0).collect()
+    assert r["b1"] == [6] * 4 and layers.read_layer(spark, path, "y", 0).count() == 1
+    # Tiles without their metadata are no layer; the next run replaces them.
+    small_layer(spark, path, "z", 1, commit=False)
+    with pytest.raises(LookupError):
+        layers.read_layer(spark, path, "z", 0)
+    small_layer(spark, path, "z", 1)
+    assert layers.read_layer(spark, path, "z", 0).count() == 1
+
+
+def test_failed_ingest_leaves_no_layer(spark, sources, tmp_path):
+    path = str(tmp_path / "c")
+    args = dict(tile=TILE, block_size=3, max_block=3)
+    with pytest.raises(Exception):
+        # Scenes are larger than this, so a block lies outside.
+        ingest(spark, sources, path, "scenes", scene_size=3, **args)
+    with pytest.raises(LookupError):
+        layers.read_layer(spark, path, "scenes", 0)
+    ingest(spark, sources, path, "scenes", scene_size=X.SCENE, **args)
+    with pytest.raises(FileExistsError):
+        ingest(spark, sources, path, "scenes", scene_size=X.SCENE, **args)
+    n = layers.read_layer(spark, path, "scenes", 0).count()
+    ingest(spark, sources, path, "scenes", scene_size=X.SCENE, mode="overwrite", **args)
+    assert layers.read_layer(spark, path, "scenes", 0).count() == n
+
+
+def test_web_layer_has_split_extents(spark, catalog):
+    if layers.layer_meta(spark, catalog, "web2", 5).isEmpty():
+        build_zoomed(spark, catalog, "scenes", "web2", tile=64, zoom=5)
+    box = layers.split_extent(spark, catalog, "web2", 5, "training")
+    source = layers.split_extent(spark, catalog, "scenes", 0, "training")
+    ring = [[source[0], source[1]], [source[2], source[3]]]
+    ((low, high),) = geo.reproject_rings([ring], "EPSG:32633", "EPSG:3857")
+    assert box[0] == pytest.approx(low[0], abs=5) and box[3] == pytest.approx(high[1], abs=5)
+
+
+def test_two_rows_of_one_block_are_an_error(spark, sf_dir):
+    blocks = X.px_blocks(spark, sf_dir)
+    twice = blocks.union(blocks.where("band = 0 AND src = 0").limit(1))
+    with pytest.raises(Exception, match="two rows of one band"):
+        assemble_scenes(twice, X.SCENE, X.SCENE).select("i").collect()
