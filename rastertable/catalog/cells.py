@@ -133,14 +133,44 @@ def convert_cells(spark, sf):
 @query(
     "band_stats",
     f"""WITH {X.PX} SELECT scene, band, count(dn) AS n, CAST(sum(dn) AS BIGINT) AS s,
-    CAST(sum(dn * dn) AS BIGINT) AS ss FROM px GROUP BY scene, band""",
+    CAST(sum(dn * dn) AS BIGINT) AS ss, round(avg(dn), 6) AS mean, round(stddev_pop(dn), 6) AS sd
+    FROM px GROUP BY scene, band""",
 )
 def band_stats(spark, sf):
     return algebra.band_stats(X.px_pixels(spark, sf), ["scene", "band"], "dn").select(
-        "scene", "band", "n", "s", "ss"
+        "scene", "band", "n", "s", F.col("ss").cast("bigint").alias("ss"),
+        F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"),
     )
 
 
+# Cells near the end of the int range: prices in cents above 1.5e9.
+# A scene holds the lines of 128 order keys, so its size does not grow.
+_WIDE = """px AS (SELECT CAST(l_orderkey % 8 + 8 * (l_orderkey // 1024) AS BIGINT) AS scene,
+  CAST(round(l_extendedprice * 100) AS INTEGER) + 1500000000 AS v FROM lineitem),
+st AS (SELECT scene, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS sd FROM px GROUP BY scene)"""
+
+
+@query(
+    "zscore_wide",
+    f"""WITH {_WIDE}, z AS (SELECT scene, CAST(trunc((v - mean) / sd) AS INTEGER) AS z FROM px JOIN st USING (scene))
+    SELECT scene, any_value(n) AS n, any_value(round(mean, 2)) AS mean, any_value(round(sd, 2)) AS sd,
+      CAST(sum(z) AS BIGINT) AS z_sum, CAST(sum(z * z) AS BIGINT) AS z_squares,
+      CAST(sum(z) AS BIGINT) AS tile_sum, CAST(sum(z * z) AS BIGINT) AS tile_squares
+    FROM z JOIN st USING (scene) GROUP BY scene""",
+)
+def zscore_wide(spark, sf):
+    px = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.expr("l_orderkey % 8 + 8 * (l_orderkey div 1024)").cast("bigint").alias("scene"),
+        (F.round(F.col("l_extendedprice") * 100).cast("int") + 1500000000).alias("v"),
+    )
+    stats = algebra.band_stats(px, ["scene"], "v").select("scene", "n", F.round("mean", 2).alias("mean"), F.round("sd", 2).alias("sd"))
+    z = F.col("z").cast("bigint")
+    pixels = algebra.zscore_pixels(px, ["scene"], "v").groupBy("scene").agg(F.sum(z).alias("z_sum"), F.sum(z * z).alias("z_squares"))
+    tiles = algebra.add_zscore(px.groupBy("scene").agg(F.collect_list("v").alias("b0")), ["b0"])
+    cells = tiles.select("scene", F.explode("z_b0").alias("z")).groupBy("scene").agg(F.sum(z).alias("tile_sum"), F.sum(z * z).alias("tile_squares"))
+    return stats.join(pixels, "scene").join(cells, "scene")
+
+
 _STATS = """
 st AS (SELECT {key}, CAST(count({v}) AS DOUBLE) AS n, CAST(sum({v}) AS DOUBLE) AS s,
        CAST(sum({v} * {v}) AS DOUBLE) AS ss FROM {t} GROUP BY {key}),

@@ -75,10 +75,26 @@ def zscore(v: Column, mean: Column, sd: Column) -> Column:
     return F.when(v.isNotNull(), F.coalesce(z, F.lit(0)))
 
 
+def square_parts(v: Column) -> tuple[Column, Column]:
+    """(high, low) halves of the square of an int, whose sums cannot overflow."""
+    w = v.cast("bigint")
+    square = w * w
+    return F.shiftright(square, 32), square.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def square_sum(high: Column, low: Column) -> Column:
+    """The exact sum of squares from the sums of both halves."""
+    return (high.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + low.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def pop_stddev(n: Column, s: Column, ss: Column) -> Column:
-    """Population standard deviation from count, sum and sum of squares."""
-    n, s, ss = n.cast("double"), s.cast("double"), ss.cast("double")
-    return F.sqrt(F.greatest(n * ss - s * s, F.lit(0.0))) / n
+    """Population standard deviation from count, sum and sum of squares.
+
+    The difference is taken in decimals, so wide integers lose nothing.
+    """
+    d = s.cast("decimal(19,0)")
+    spread = n.cast("decimal(19,0)") * ss.cast("decimal(38,0)") - d * d
+    return F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0))) / n.cast("double")
 
 
 def clamp(v: Column, lo: int, hi: int) -> Column:

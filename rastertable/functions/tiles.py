@@ -235,25 +235,21 @@ def rotate90(cells: Column, cols, rows, n: int | Column = 1) -> Column:
 
 # ------------------------------------------------------------------ statistics
 def cell_moments(cells: Column) -> Column:
-    """struct(n, s, ss) over the data cells of an integer band."""
-    zero = F.struct(
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(0).cast("bigint").alias("s"),
-        F.lit(0).cast("bigint").alias("ss"),
-    )
+    """struct(n, s, hi, lo) over the data cells of an integer band.
+
+    ``hi`` and ``lo`` are the sums of the halves of the squares.
+    """
+    from rastertable.functions.cells import square_parts
+
+    names = ("n", "s", "hi", "lo")
 
     def step(acc: Column, v: Column) -> Column:
-        w = v.cast("bigint")
+        add = (F.lit(1), v.cast("bigint"), *square_parts(v))
         return F.when(
-            v.isNotNull(),
-            F.struct(
-                (acc["n"] + 1).alias("n"),
-                (acc["s"] + w).alias("s"),
-                (acc["ss"] + w * w).alias("ss"),
-            ),
+            v.isNotNull(), F.struct(*[(acc[c] + x).alias(c) for c, x in zip(names, add)])
         ).otherwise(acc)
 
-    return F.aggregate(cells, zero, step)
+    return F.aggregate(cells, F.struct(*[F.lit(0).cast("bigint").alias(c) for c in names]), step)
 
 
 def cell_mean_sd(cells: Column) -> Column:
@@ -276,17 +272,26 @@ def cell_mean_sd(cells: Column) -> Column:
 
 
 def zscore_cells(cells: Column, integer: bool = True) -> Column:
-    """z-score of one band by its own statistics, truncated toward zero."""
-    from rastertable.functions.cells import pop_stddev, zscore
+    """z-score of one band by its own statistics, truncated toward zero.
+
+    A band without data cells has no statistics, which is an error.
+    """
+    from rastertable.functions.cells import pop_stddev, square_sum, zscore
 
     if integer:
         stats = let(
             cell_moments(cells),
             lambda m: F.struct(
                 F.try_divide(m["s"].cast("double"), m["n"].cast("double")).alias("mean"),
-                F.when(m["n"] > 0, pop_stddev(m["n"], m["s"], m["ss"])).alias("sd"),
+                F.when(m["n"] > 0, pop_stddev(m["n"], m["s"], square_sum(m["hi"], m["lo"]))).alias("sd"),
             ),
         )
     else:
         stats = cell_mean_sd(cells)
-    return let(stats, lambda t: F.transform(cells, lambda v: zscore(v, t["mean"], t["sd"])))
+    none = F.raise_error(F.lit("no statistics: band without data cells")).cast("array<int>")
+    return let(
+        stats,
+        lambda t: F.when(
+            t["mean"].isNotNull() | cells.isNull(), F.transform(cells, lambda v: zscore(v, t["mean"], t["sd"]))
+        ).otherwise(none),
+    )

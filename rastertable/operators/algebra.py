@@ -79,10 +79,11 @@ def band_stats(pixels: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         return pixels.groupBy(*keys).agg(
             F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd")
         )
-    w = v.cast("bigint")
+    high, low = C.square_parts(v)
     sums = pixels.groupBy(*keys).agg(
-        F.count(v).alias("n"), F.sum(w).alias("s"), F.sum(w * w).alias("ss")
+        F.count(v).alias("n"), F.sum(v.cast("bigint")).alias("s"), F.sum(high).alias("_hi"), F.sum(low).alias("_lo")
     )
+    sums = sums.withColumn("ss", C.square_sum(F.col("_hi"), F.col("_lo"))).drop("_hi", "_lo")
     n, s, ss = F.col("n"), F.col("s"), F.col("ss")
     return sums.withColumns(
         {

@@ -187,3 +187,14 @@ def test_projection_values():
             assert abs(back[0] - lon) < 1e-9 and abs(back[1] - lat) < 1e-9
     with pytest.raises(ValueError):
         geo.project(1.0, 1.0, "EPSG:9999", geo.NUM)
+
+
+def test_statistics_of_wide_integers(spark):
+    """Squares beyond 63 bits in sum, and no data cell."""
+    from rastertable.operators.algebra import add_zscore
+
+    df = spark.createDataFrame([([1500000000, 1500000001, 1500000002],), ([2147483647, -2147483648] * 50,)], "b0 array<int>")
+    got = [r.z_b0 for r in add_zscore(df, ["b0"]).collect()]
+    assert got[0] == [-1, 0, 1] and set(got[1]) == {1, -1}
+    with pytest.raises(Exception, match="no statistics"):
+        add_zscore(spark.createDataFrame([([None, None],)], "b0 array<int>"), ["b0"]).collect()
