@@ -145,9 +145,7 @@ def augment_pieces(spark, sf):
     )
 
 
-@query(
-    "generate_samples",
-    f"""{_AUGMENTED}, full_size AS (SELECT window_id, (x1 - x0 + 1) * (y1 - y0 + 1) AS cells FROM hit),
+_PRODUCTS = f"""{_AUGMENTED}, full_size AS (SELECT window_id, (x1 - x0 + 1) * (y1 - y0 + 1) AS cells FROM hit),
     ag AS (SELECT h.window_id, cells, count(b0) AS n, coalesce(sum(b0 + b1 + b2 + b3), 0) AS total,
              coalesce(sum(CASE WHEN b0 + b3 = 0 THEN NULL ELSE floor(CAST(b3 - b0 AS DOUBLE) / CAST(b3 + b0 AS DOUBLE) * 1000000) END), 0) AS nd,
              count(CASE WHEN b0 + b3 = 0 THEN NULL ELSE b0 END) AS nn,
@@ -160,13 +158,11 @@ def augment_pieces(spark, sf):
     SELECT window_id, 'image' AS product, n, CAST(total AS BIGINT) AS checksum FROM ag
     UNION ALL SELECT window_id, 'ndvi', nn, CAST(nd AS BIGINT) FROM ag
     UNION ALL SELECT window_id, 'mask', CAST(cells AS BIGINT), CAST(cells - zero AS BIGINT) FROM ag
-    UNION ALL SELECT ag.window_id, 'image_z', ag.n, CAST(coalesce(z.total, 0) AS BIGINT) FROM ag LEFT JOIN z ON ag.window_id = z.window_id""",
-)
-def generate_samples(spark, sf):
-    """All four products of augmented chips; z-score checked on band 0."""
-    chips = chips_from_windows(
-        _window_columns(spark, sf), X.lp_tiles(spark, sf), X.TILE, X.lcg_uniform
-    )
+    UNION ALL SELECT ag.window_id, 'image_z', ag.n, CAST(coalesce(z.total, 0) AS BIGINT) FROM ag LEFT JOIN z ON ag.window_id = z.window_id"""
+
+
+def _products(chips):
+    """Data cells and checksum of each product, per row of chips."""
 
     def count(c):
         return F.size(F.filter(c, lambda v: v.isNotNull())).cast("bigint")
@@ -186,6 +182,21 @@ def generate_samples(spark, sf):
     return chips.select("window_id", F.inline(rows))
 
 
+@query("generate_samples", _PRODUCTS)
+def generate_samples(spark, sf):
+    """All four products of augmented chips; z-score checked on band 0."""
+    return _products(
+        chips_from_windows(_window_columns(spark, sf), X.lp_tiles(spark, sf), X.TILE, X.lcg_uniform, size=16)
+    )
+
+
+@query("generate_samples_blocks", _PRODUCTS)
+def generate_samples_blocks(spark, sf):
+    """The same chips in blocks of 5 x 5 cells, with statistics merged per window."""
+    chips = chips_from_windows(_window_columns(spark, sf), X.lp_tiles(spark, sf), X.TILE, X.lcg_uniform, block=5)
+    return _products(chips).groupBy("window_id", "product").agg(F.sum("n").alias("n"), F.sum("checksum").alias("checksum"))
+
+
 @query(
     "sample_bands",
     f"""{_CHIP} SELECT window_id, count(*) AS n, CAST(sum((cy * cols + cx) * b2) AS BIGINT) AS k_b0,

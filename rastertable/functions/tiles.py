@@ -271,10 +271,11 @@ def cell_mean_sd(cells: Column) -> Column:
     return let(F.filter(cells, lambda v: v.isNotNull()), stats)
 
 
-def zscore_cells(cells: Column, integer: bool = True) -> Column:
+def zscore_cells(cells: Column, integer: bool = True, strict: bool = True) -> Column:
     """z-score of one band by its own statistics, truncated toward zero.
 
-    A band without data cells has no statistics, which is an error.
+    A band without data cells has no statistics, which is an error; unless
+    ``strict``, it stays without data.
     """
     from rastertable.functions.cells import pop_stddev, square_sum, zscore
 
@@ -288,6 +289,8 @@ def zscore_cells(cells: Column, integer: bool = True) -> Column:
         )
     else:
         stats = cell_mean_sd(cells)
+    if not strict:
+        return let(stats, lambda t: F.transform(cells, lambda v: zscore(v, t["mean"], t["sd"])))
     none = F.raise_error(F.lit("no statistics: band without data cells")).cast("array<int>")
     return let(
         stats,

@@ -56,19 +56,65 @@ def add_mask(df: DataFrame, bands: Sequence[str] | None = None, out: str = "mask
     return combine_bands(df, C.label_mask, list(bands or band_columns(df)[-3:]), out)
 
 
-def add_zscore(df: DataFrame, bands: Sequence[str] | None = None, prefix: str = "z_") -> DataFrame:
-    """z-score of each band array by the statistics of its own row."""
+def add_zscore(
+    df: DataFrame, bands: Sequence[str] | None = None, prefix: str = "z_", strict: bool = True
+) -> DataFrame:
+    """z-score of each band array by the statistics of its own row.
+
+    A band without data is an error, or stays without data if not ``strict``.
+    """
     bands = list(bands or band_columns(df))
     return df.withColumns(
         {
             f"{prefix}{b}": K.zscore_cells(
-                F.col(b), cell_sql_type(df, b) not in ("float", "double")
+                F.col(b), cell_sql_type(df, b) not in ("float", "double"), strict
             )
             for b in bands
         }
     )
 
 
+def merged_stats(parts: DataFrame, key: str, bands: Sequence[str]) -> DataFrame:
+    """(key, one struct(mean, sd) per band) over arrays that together hold a key's cells.
+
+    Only moments of each array are shuffled.  Integer bands are exact; floating
+    bands merge the means and deviations of the parts.
+    """
+    exact = [b for b in bands if cell_sql_type(parts, b) not in ("float", "double")]
+
+    def moments(b: str) -> Column:
+        if b in exact:
+            return K.cell_moments(F.col(b)).alias(b)
+        n = F.size(F.filter(b, lambda v: v.isNotNull()))
+        return K.let(K.cell_mean_sd(F.col(b)), lambda m: F.struct(n.alias("n"), m["mean"].alias("mean"), m["sd"].alias("sd"))).alias(b)
+
+    def merged(b: str) -> Column:
+        if b in exact:
+            n, s = F.sum(f"{b}.n"), F.sum(f"{b}.s")
+            sd = C.pop_stddev(n, s, C.square_sum(F.sum(f"{b}.hi"), F.sum(f"{b}.lo")))
+            return F.when(n > 0, F.struct((s.cast("double") / n.cast("double")).alias("mean"), sd.alias("sd"))).alias(b)
+        rows = F.collect_list(F.when(F.col(f"{b}.n") > 0, F.col(b)))
+
+        def total(x: Column, fn: Callable[[Column], Column]) -> Column:
+            return F.aggregate(x, F.lit(0.0), lambda acc, r: acc + fn(r))
+
+        n = lambda r: r["n"].cast("double")
+        return K.let(
+            rows,
+            lambda x: K.let(
+                F.try_divide(total(x, lambda r: n(r) * r["mean"]), total(x, n)),
+                lambda m: F.struct(
+                    m.alias("mean"),
+                    F.sqrt(
+                        F.try_divide(total(x, lambda r: n(r) * (r["sd"] * r["sd"] + (r["mean"] - m) * (r["mean"] - m))), total(x, n))
+                    ).alias("sd"),
+                ),
+            ),
+        ).alias(b)
+
+    return parts.select(key, *[moments(b) for b in bands]).groupBy(key).agg(*[merged(b) for b in bands])
+
+
 def band_stats(pixels: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Per key: n, s, ss, mean, sd (population) over data cells.
 

@@ -15,8 +15,8 @@ from rastertable.schema import band_columns, cell_sql_type
 
 Uniform = Callable[[Column, int], Column]
 
-# Cells of one stitched row; larger windows are returned in block form.
-STITCH_CELLS = 4_000_000
+# Side of the blocks in which chips are stored; a smaller chip is one block.
+BLOCK = 512
 
 
 def hash_uniform(seed: int) -> Uniform:
@@ -131,6 +131,22 @@ def crop_tiles(joined: DataFrame, tile: int, keep: list[str]) -> DataFrame:
     )
 
 
+def window_blocks(windows: DataFrame, side: int = BLOCK) -> DataFrame:
+    """Cut windows into blocks of at most ``side`` x ``side`` cells; narrow.
+
+    ``x0 .. y1`` become the bounds of the block; ``chip`` keeps those of the
+    window, so the place of a block in its chip is the difference.
+    """
+    bounds = ("x0", "y0", "x1", "y1")
+
+    def starts(lo: str, hi: str) -> Column:
+        return F.sequence(F.col(lo).cast("bigint"), F.col(hi).cast("bigint"), F.lit(side).cast("bigint"))
+
+    out = windows.withColumn("chip", F.struct(*bounds))
+    out = out.withColumn("x0", F.explode(starts("x0", "x1"))).withColumn("y0", F.explode(starts("y0", "y1")))
+    return out.withColumns({"x1": F.least(F.col("x0") + side - 1, "x1"), "y1": F.least(F.col("y0") + side - 1, "y1")})
+
+
 def window_pieces(
     windows: DataFrame, tiles: DataFrame, tile: int, ident: str = "window_id", **join_options
 ) -> DataFrame:
@@ -147,24 +163,19 @@ def window_pieces(
     return crop_tiles(joined, tile, keep)
 
 
-def stitch(pieces: DataFrame, tile: int, ident: str = "window_id", max_cells: int = STITCH_CELLS) -> DataFrame:
+def stitch(pieces: DataFrame, tile: int, ident: str = "window_id") -> DataFrame:
     """Join the pieces of each window into one row of dense bands.
 
     Pieces are already cut to their window, so a group holds at most the cells
-    of one window; windows above ``max_cells`` are an error (keep those in
-    piece form).  Parts no tile covers are NoData.  A window that meets no tile
-    has no piece and hence no row.
+    of one window: cut large windows into blocks first (``window_blocks``).
+    Parts no tile covers are NoData.  A window that meets no tile has no piece
+    and hence no row.
     """
     bands = band_columns(pieces)
     spot = ("col", "row", "x0", "y0", "x1", "y1", "px", "py", "w", "h")
     rest = [c for c in pieces.columns if c not in (*spot, *bands, ident)]
-    cells = (F.col("x1") - F.col("x0") + 1) * (F.col("y1") - F.col("y0") + 1)
-    bounded = F.when(cells <= max_cells, F.col("col")).otherwise(
-        F.raise_error(F.lit(f"window exceeds {max_cells} cells: keep it in piece form")).cast("int")
-    )
     grouped = (
-        pieces.withColumn("col", bounded)
-        .groupBy(ident, "x0", "y0", "x1", "y1")
+        pieces.groupBy(ident, "x0", "y0", "x1", "y1")
         .agg(
             *[F.first(c).alias(c) for c in rest],
             F.collect_list(F.struct("col", "row", "w", "h", *bands)).alias("_p"),

@@ -9,12 +9,13 @@ from rastertable.catalog import fixtures as X
 from rastertable.functions import geo
 from rastertable.grid import Grid
 from rastertable.operators import extract, layout
+from rastertable.operators.algebra import merged_stats
 from rastertable.operators.assemble import assemble_scenes
 from rastertable.operators.index import batch, with_index
 from rastertable.operators.splits import split_extents
+from rastertable.operators.windows import hash_uniform, sample_windows
 from rastertable.plans.ingest import build_zoomed, ingest
-from rastertable.plans.sampling import generate_samples, pieces_from_windows
-from rastertable.operators.windows import sample_windows
+from rastertable.plans.sampling import chips_from_windows, generate_samples
 from rastertable.sources import layers
 from rastertable.sources.samples import product_view
 from rastertable.sources.scenes import read_scenes, split_paths
@@ -141,24 +142,40 @@ def test_positional_ndvi(spark, catalog, tmp_path):
     assert both.where(~F.forall(flipped, lambda v: v)).count() == 0
 
 
-def test_block_form_of_large_chips(spark, catalog):
-    """Unstitched pieces cover each chip exactly once."""
+def test_blocks_of_a_chip_are_the_chip(spark, catalog):
+    """Blocks cover a turned chip exactly once, with the cells and z-scores of the chip in one row."""
     grid = Grid.from_meta(layers.layer_meta_row(spark, catalog, "scenes", 0))
     box = layers.split_extent(spark, catalog, "scenes", 0, "training")
-    windows = sample_windows(spark, 4, box, 20, grid, 5)
+    windows = sample_windows(spark, 6, box, 20, grid, 5)
     tiles = layers.read_layer(spark, catalog, "scenes", 0)
-    from rastertable.operators.windows import hash_uniform
-
-    pieces = pieces_from_windows(windows, tiles, grid.tile, hash_uniform(5)).collect()
-    for w in {p.window_id for p in pieces}:
-        seen = set()
-        for p in (p for p in pieces if p.window_id == w):
-            assert len(p.b0) == p.w * p.h == len(p.ndvi)
-            for k in range(p.w * p.h):
-                cell = (p.px + k % p.w, p.py + k // p.w)
-                assert cell not in seen
-                seen.add(cell)
-        assert len(seen) == (p.x1 - p.x0 + 1) * (p.y1 - p.y0 + 1)
+    products = ("b0", "b7", "ndvi", "mask", "z_b0", "z_b7")
+    make = lambda **k: chips_from_windows(windows, tiles, grid.tile, hash_uniform(5), **k).collect()
+    whole = {c.window_id: c for c in make(size=20)}
+    blocks = make(block=6)
+    assert max(b.cols for b in blocks) == max(b.rows for b in blocks) == 6
+    seen = {w: set() for w in whole}
+    for b in blocks:
+        c = whole[b.window_id]
+        assert (c.px, c.py) == (0, 0) and (b.x0, b.y1) == (c.x0, c.y1)
+        for k in range(b.cols * b.rows):
+            x, y = b.px + k % b.cols, b.py + k // b.cols
+            assert (x, y) not in seen[b.window_id]
+            seen[b.window_id].add((x, y))
+            for name in products:
+                assert b[name][k] == c[name][y * c.cols + x]
+    for w, c in whole.items():
+        # What no block covers is what no tile covers.
+        assert all(c.b0[y * c.cols + x] is None for y in range(c.rows) for x in range(c.cols) if (x, y) not in seen[w])
+
+
+def test_merged_statistics_of_floats(spark):
+    rows = [(1, [1.5, None, 2.25]), (1, [7.0, -3.5]), (1, [None]), (2, [None])]
+    df = spark.createDataFrame(rows, "window_id int, b0 array<double>")
+    got = {r.window_id: r.b0 for r in merged_stats(df, "window_id", ["b0"]).collect()}
+    values = [1.5, 2.25, 7.0, -3.5]
+    mean = sum(values) / 4
+    assert got[1].mean == pytest.approx(mean) and got[1].sd == pytest.approx((sum((v - mean) ** 2 for v in values) / 4) ** 0.5)
+    assert got[2].mean is None
 
 
 def test_window_too_large(spark, catalog):

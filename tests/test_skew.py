@@ -96,12 +96,6 @@ def test_oblong_chips_turn(spark):
         assert turned[c.window_id] == {(y, x): b[y, x] for y in range(c.rows) for x in range(c.cols)}
 
 
-def test_stitch_refuses_unbounded_chips(spark):
-    joined = join_tiles(window_keys(hot_windows(spark), 8), full_tiles(spark), "window_id")
-    with pytest.raises(Exception, match="piece form"):
-        stitch(crop_tiles(joined, 8, ["window_id"]), 8, max_cells=10).collect()
-
-
 def test_hot_tile_merges_cell_by_cell(spark):
     """Forty overlapping copies of a block: both merge paths, same layer."""
     blocks = spark.range(40).select(
