@@ -292,9 +292,9 @@ def test_failed_ingest_leaves_no_layer(spark, sources, tmp_path):
 
 
 def test_web_layer_has_split_extents(spark, catalog):
-    if layers.layer_meta(spark, catalog, "web2", 5).isEmpty():
-        build_zoomed(spark, catalog, "scenes", "web2", tile=64, zoom=5)
-    box = layers.split_extent(spark, catalog, "web2", 5, "training")
+    if layers.layer_meta(spark, catalog, "web2", 16).isEmpty():
+        build_zoomed(spark, catalog, "scenes", "web2", tile=64, zoom=16, pyramid=False)
+    box = layers.split_extent(spark, catalog, "web2", 16, "training")
     source = layers.split_extent(spark, catalog, "scenes", 0, "training")
     ring = [[source[0], source[1]], [source[2], source[3]]]
     ((low, high),) = geo.reproject_rings([ring], "EPSG:32633", "EPSG:3857")
