@@ -364,26 +364,29 @@ def rgba_channels(spark, sf):
 
 
 # ---------------------------------------------------------------- grid transforms
+_WIDTH = "(CASE WHEN band = 4 THEN 7 ELSE 8 END)"  # the height band is one column short
+
+
 def _moved(name: str, kernel, sql_k: str) -> None:
-    """Register a transform of every whole band of the scenes."""
+    """Register a transform of every band of the scenes, oblong ones too."""
 
     @query(
         name,
-        f"WITH {X.PX} SELECT scene, band, CAST({sql_k} AS INTEGER) AS k_new, dn FROM px WHERE band <> 4",
+        f"WITH {X.PX}, p AS (SELECT *, {_WIDTH} AS w FROM px) SELECT scene, band, CAST({sql_k} AS INTEGER) AS k_new, dn FROM p",
     )
     def run(spark, sf):
-        df = X.raw_blocks(spark, sf).where("scene_band <> 4").select(
+        df = X.raw_blocks(spark, sf).select(
             "scene", F.col("scene_band").alias("band"),
             kernel(F.col("cells"), F.col("cols"), F.col("rows")).alias("dn"),
         )
         return exploded(df, "dn").withColumnRenamed("k", "k_new")
 
 
-_moved("rotate90_1", lambda c, w, h: K.rotate90(c, w, h, 1), "(7 - x) * 8 + y")
-_moved("rotate90_2", lambda c, w, h: K.rotate90(c, w, h, 2), "63 - k")
+_moved("rotate90_1", lambda c, w, h: K.rotate90(c, w, h, 1), "(w - 1 - x) * 8 + y")
+_moved("rotate90_2", lambda c, w, h: K.rotate90(c, w, h, 2), "(7 - y) * w + w - 1 - x")
 _moved("rotate90_3", lambda c, w, h: K.rotate90(c, w, h, 3), "x * 8 + 7 - y")
-_moved("flip_vertical", K.flip_vertical, "y * 8 + 7 - x")
-_moved("flip_horizontal", K.flip_horizontal, "(7 - y) * 8 + x")
+_moved("flip_vertical", K.flip_vertical, "y * w + w - 1 - x")
+_moved("flip_horizontal", K.flip_horizontal, "(7 - y) * w + x")
 
 
 @query(

@@ -59,14 +59,20 @@ def parse_scene_key(spark, sf):
 
 @query(
     "round_extent",
-    f"""WITH {X.FILES} SELECT i, j, round(366000.04 + 4 * j, 1)::DOUBLE AS xmin,
-    round(5808000.06 - 4 * i - 4, 1)::DOUBLE AS ymin, round(366000.04 + 4 * j + 4, 1)::DOUBLE AS xmax,
-    round(5808000.06 - 4 * i, 1)::DOUBLE AS ymax FROM files WHERE src = 0""",
+    f"""WITH {X.FILES} SELECT src, i, j,
+    CASE WHEN src < 2 THEN round(366000.04 + 4 * j, 1) ELSE 0 END::DOUBLE AS xmin,
+    CASE WHEN src < 2 THEN round(5808000.06 - 4 * i - 4, 1) ELSE 0 END::DOUBLE AS ymin,
+    CASE WHEN src < 2 THEN round(366000.04 + 4 * j + 4, 1) ELSE 8 END::DOUBLE AS xmax,
+    CASE WHEN src < 2 THEN round(5808000.06 - 4 * i, 1) ELSE 8 END::DOUBLE AS ymax FROM files""",
 )
 def round_extent(spark, sf):
-    raw = src.parse_scene_key(X.raw_blocks(spark, sf).where(F.col("source_dir") == X.DIRS[0]))
+    """Every file's extent, the corrupt ones too."""
+    raw = src.parse_scene_key(X.raw_blocks(spark, sf))
+    order = (F.array_position(F.array(*[F.lit(d) for d in X.DIRS]), F.col("source_dir")) - 1).cast("int")
     return (
-        raw.select("i", "j", geo.round_extent(F.col("extent")).alias("e")).distinct().select("i", "j", "e.*")
+        raw.select(order.alias("src"), "i", "j", geo.round_extent(F.col("extent")).alias("e"))
+        .distinct()
+        .select("src", "i", "j", "e.*")
     )
 
 
@@ -104,15 +110,17 @@ def scene_header(spark, sf):
 
 @query(
     "pad_cells",
-    f"""WITH {X.PX}, g AS (SELECT DISTINCT scene, unnest(range(0, 64)) AS k FROM px WHERE band = 4)
-    SELECT g.scene, CAST(g.k AS INTEGER) AS k, coalesce(px.dn, 0) AS dn
-    FROM g LEFT JOIN px ON g.scene = px.scene AND g.k = px.k AND px.band = 4""",
+    f"""WITH {X.PX}, g AS (SELECT DISTINCT scene, band, unnest(range(0, 64)) AS k FROM px)
+    SELECT g.scene, g.band, CAST(g.k AS INTEGER) AS k, coalesce(px.dn, 0) AS dn
+    FROM g LEFT JOIN px ON g.scene = px.scene AND g.k = px.k AND g.band = px.band""",
 )
 def pad(spark, sf):
-    short = X.raw_blocks(spark, sf).where("scene_band = 4").select(
-        "scene", pad_cells(F.col("cells"), F.col("cols"), F.col("rows"), S, S).alias("dn")
+    """Every band in scene size; the height band gains a column of zeros."""
+    padded = X.raw_blocks(spark, sf).select(
+        "scene", F.col("scene_band").alias("band"),
+        pad_cells(F.col("cells"), F.col("cols"), F.col("rows"), S, S).alias("dn"),
     )
-    return exploded(short, "dn")
+    return exploded(padded, "dn")
 
 
 @query(

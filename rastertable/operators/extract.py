@@ -249,12 +249,12 @@ def extract(
     """Polygon extract of a layer: filter, mask, choose bands, crop.
 
     Returns the pieces of the extract (see ``crop_layer``); without a polygon
-    the whole layer, uncropped.  Bands are chosen first, so masks run on those
+    those of the whole layer.  Bands are chosen first, so masks run on those
     only.
     """
     chosen = select_bands(tiles, bands)
     if polygon is None:
-        return chosen
+        return crop_layer(chosen, grid, grid.extent)
     rings = as_polygon(polygon, polygon_crs, grid.crs)
     return crop_layer(mask_tiles(chosen, rings, grid), grid, geo.envelope_of(rings))
 

@@ -204,7 +204,10 @@ def test_extract_with_lonlat_polygon(spark, catalog):
     px = layout.tiles_to_pixels(tiles.select("col", "row", "b0", "b4"), grid.tile)
     want = extract.mask_pixels(px, [ring], grid).count()
     assert sum(v is not None for p in got for v in p.b0) == want > 0
-    assert extract.extract(tiles, grid).count() == tiles.count()
+    whole = extract.extract(tiles, grid)
+    assert whole.count() == tiles.count() and whole.columns[:9] == extract.extract(tiles, grid, text).columns[:9]
+    data = lambda df: df.agg(F.sum(F.size(F.filter("b0", lambda v: v.isNotNull())))).first()[0]
+    assert data(whole) == data(tiles)
     col, row = got[0].col, got[0].row
     view = extract.tile_view(tiles, grid, col, row, "DSM,R", text).first()
     plain = extract.tile_view(tiles, grid, col, row, "DSM,R").first()
