@@ -134,6 +134,13 @@ def edges_of(rings: Rings) -> list[tuple[float, float, float, float]]:
     return out
 
 
+def edges_literal(rings: Rings) -> Column:
+    """The edges of a parameter polygon as one constant, so no row rebuilds them."""
+    names = ("x1", "y1", "x2", "y2")
+    edges = [F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(names, e)]) for e in edges_of(rings)]
+    return F.array(*edges).cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+
+
 
 def contains_point(edges: Column, cx: Column, cy: Column) -> Column:
     """Even-odd test of a point against an edge array."""

@@ -81,7 +81,7 @@ def box_keys(grid: Grid, box: tuple[float, float, float, float]) -> tuple[int, i
 def filter_intersects(tiles: DataFrame, polygon: geo.Rings, grid: Grid) -> DataFrame:
     """Tiles whose extent meets the polygon.  Narrow: no join, no shuffle."""
     near = key_range(tiles, grid, geo.envelope_of(polygon))
-    edges = geo.polygon_edges(geo.rings_literal(polygon))
+    edges = geo.edges_literal(polygon)
     box = grid.key_extent(F.col("col"), F.col("row"))
     return near.where(geo.box_relation(edges, box) != "outside")
 
@@ -172,7 +172,7 @@ def mask_joined(df: DataFrame, grid: Grid, bands: Sequence[str]) -> DataFrame:
 def mask_tiles(tiles: DataFrame, polygon: geo.Rings, grid: Grid) -> DataFrame:
     """NoData for cells whose centre is outside the polygon; tiles that do not
     meet it are left out."""
-    edges = geo.polygon_edges(geo.rings_literal(polygon))
+    edges = geo.edges_literal(polygon)
     box = grid.key_extent(F.col("col"), F.col("row"))
     near = key_range(tiles, grid, geo.envelope_of(polygon)).withColumns(
         {"relation": geo.box_relation(edges, box)}
@@ -194,7 +194,7 @@ def mask_pixels(pixels: DataFrame, polygon: geo.Rings, grid: Grid) -> DataFrame:
     inside = (
         geo.contains_point_const(polygon, cx, cy)
         if len(edges) <= UNROLL_EDGES
-        else geo.contains_point(geo.polygon_edges(geo.rings_literal(polygon)), cx, cy)
+        else geo.contains_point(geo.edges_literal(polygon), cx, cy)
     )
     return near.where(inside)
 
@@ -287,7 +287,7 @@ def tile_view(
     if polygon is None:
         return found
     rings = as_polygon(polygon, polygon_crs, grid.crs)
-    edges = geo.polygon_edges(geo.rings_literal(rings))
+    edges = geo.edges_literal(rings)
     box = grid.key_extent(F.col("col"), F.col("row"))
     tagged = found.withColumns({"relation": geo.box_relation(edges, box), "edges": edges})
     return mask_joined(tagged, grid, band_columns(found)).drop("relation", "edges")

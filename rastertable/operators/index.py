@@ -70,9 +70,3 @@ def batch(tiles: DataFrame, n: int, k: int) -> DataFrame:
     keys = with_index(tiles.select("col", "row"))
     chosen = keys.where(F.col("idx") % n == k).select("col", "row")
     return tiles.join(chosen, ["col", "row"], "left_semi")
-
-
-def running_offset(count: Column, group: list[str], order: list[str]) -> Column:
-    """Sum of ``count`` over the earlier rows of the group."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(count).over(w), F.lit(0)).cast("int")

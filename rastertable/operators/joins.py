@@ -65,11 +65,13 @@ def join_tiles(
     """
     if strategy not in ("auto", "broadcast", "salted"):
         raise ValueError(f"unknown join strategy {strategy}")
-    counts = keys.groupBy("col", "row").agg(F.count("*").alias("_n"))
+    # Keys of polygons carry edges of any number; the limit is in rows of about 100 bytes.
+    weight = 1 + F.size("edges") * 0.32 if "edges" in keys.columns else F.lit(1.0)
+    counts = keys.groupBy("col", "row").agg(F.count("*").alias("_n"), F.sum(weight).alias("_weight"))
     stats = None
     if strategy == "auto":
         stats = counts.agg(
-            F.sum("_n").alias("total"),
+            F.sum("_weight").alias("total"),
             F.max("_n").alias("top"),
             F.count_if(F.col("_n") > hot_key).alias("hot"),
             *[F.expr(f"{f}({c})").alias(f"{c}_{f}") for c in ("col", "row") for f in ("min", "max")],
@@ -111,14 +113,3 @@ def diff_layers(a: DataFrame, b: DataFrame, column: str, on=("x", "y"), out: str
     left = a.select(*on, F.col(column).alias("_a"))
     right = b.select(*on, F.col(column).alias("_b"))
     return left.join(right, on).select(*on, (F.col("_a") - F.col("_b")).alias(out))
-
-
-def diff_tiles(a: DataFrame, b: DataFrame, column: str, out: str = "diff") -> DataFrame:
-    """The same difference on band arrays of tiles with equal keys."""
-    left = a.select("col", "row", F.col(column).alias("_a"))
-    right = b.select("col", "row", F.col(column).alias("_b"))
-    return left.join(right, ["col", "row"]).select(
-        "col", "row", F.zip_with("_a", "_b", lambda p, q: p - q).alias(out)
-    )
-
-

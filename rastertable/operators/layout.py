@@ -362,18 +362,6 @@ def pyramid_pixels(pixels: DataFrame, level: int) -> DataFrame:
     )
 
 
-def pyramid(tiles: DataFrame, tile: int, base_zoom: int, min_zoom: int = 0) -> DataFrame:
-    """All levels from ``base_zoom`` up to ``min_zoom``, with a ``zoom`` column."""
-    bands = band_columns(tiles)
-    cols = ["col", "row", "z", "tile_cols", "tile_rows", *bands]
-    out = None
-    for zoom in range(base_zoom, min_zoom - 1, -1):
-        level = pyramid_level(tiles.select(*cols), tile, base_zoom - zoom)
-        level = level.select(F.lit(zoom).alias("zoom"), *cols)
-        out = level if out is None else out.unionByName(level)
-    return out
-
-
 def reproject_nn(
     tiles: DataFrame, source: Grid, target: Grid, target_keys: DataFrame, skip_empty: bool = True
 ) -> DataFrame:

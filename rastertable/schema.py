@@ -44,8 +44,6 @@ EXTENT = T.StructType(
     [T.StructField(n, T.DoubleType()) for n in ("xmin", "ymin", "xmax", "ymax")]
 )
 
-RINGS = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
-
 
 def scene_block_schema(cell: T.DataType = T.IntegerType()) -> T.StructType:
     """One row per (file, band, block); ``cells`` covers the block only."""
@@ -66,21 +64,6 @@ def scene_block_schema(cell: T.DataType = T.IntegerType()) -> T.StructType:
     )
 
 
-def tile_schema(bands: int, cell: T.DataType = T.IntegerType()) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("layer", T.StringType()),
-            T.StructField("zoom", T.IntegerType()),
-            T.StructField("col", T.IntegerType()),
-            T.StructField("row", T.IntegerType()),
-            T.StructField("z", T.LongType()),
-            T.StructField("tile_cols", T.IntegerType()),
-            T.StructField("tile_rows", T.IntegerType()),
-        ]
-        + [T.StructField(f"b{k}", T.ArrayType(cell)) for k in range(bands)]
-    )
-
-
 LAYER_META = T.StructType(
     [
         T.StructField("layer", T.StringType()),

@@ -74,7 +74,7 @@ def test_zscore_cells(spark):
     assert one(spark, a, K.zscore_cells) == want
     assert one(spark, a, lambda c: K.zscore_cells(c.cast("array<double>"), False)) == want
     assert one(spark, [4, 4, None], K.zscore_cells) == [0, 0, None]
-    assert one(spark, [None, None], K.zscore_cells) == [None, None]
+    assert one(spark, [None, None], lambda c: K.zscore_cells(c, strict=False)) == [None, None]
 
 
 def test_adjust(spark):
@@ -198,3 +198,20 @@ def test_statistics_of_wide_integers(spark):
     assert got[0] == [-1, 0, 1] and set(got[1]) == {1, -1}
     with pytest.raises(Exception, match="no statistics"):
         add_zscore(spark.createDataFrame([([None, None],)], "b0 array<int>"), ["b0"]).collect()
+
+
+def test_many_edges_are_one_constant(spark):
+    """No row rebuilds the edges of a polygon parameter."""
+    import math
+
+    from rastertable.grid import Grid
+    from rastertable.operators.extract import mask_pixels
+
+    grid = Grid(0.0, 40.0, 1.0, 1.0, 8, 40, 40)
+    ring = [[20 + 15 * math.cos(t * math.pi / 100), 20 + 15 * math.sin(t * math.pi / 100)] for t in range(200)]
+    px = spark.range(1600).selectExpr("cast(id % 40 as int) x", "cast(id div 40 as int) y", "1 b0")
+    kept = mask_pixels(px, [ring], grid)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "flatten(" not in plan
+    want = sum((x + 0.5 - 20) ** 2 + (y + 0.5 - 20) ** 2 < 15**2 - 0.2 for x in range(40) for y in range(40))
+    assert abs(kept.count() - want) <= 4
