@@ -253,7 +253,8 @@ def cell_moments(cells: Column) -> Column:
 
 
 def cell_mean_sd(cells: Column) -> Column:
-    """struct(mean, sd) of a floating band, two passes for accuracy."""
+    """struct(mean, sd) of one band, two passes for accuracy: sums of ints are exact
+    as doubles, and deviations stay small however large the cells are."""
 
     def total(data: Column, fn: Callable[[Column], Column]) -> Column:
         return F.aggregate(data, F.lit(0.0), lambda a, v: a + fn(v.cast("double")))
@@ -271,24 +272,15 @@ def cell_mean_sd(cells: Column) -> Column:
     return let(F.filter(cells, lambda v: v.isNotNull()), stats)
 
 
-def zscore_cells(cells: Column, integer: bool = True, strict: bool = True) -> Column:
+def zscore_cells(cells: Column, strict: bool = True) -> Column:
     """z-score of one band by its own statistics, truncated toward zero.
 
     A band without data cells has no statistics, which is an error; unless
     ``strict``, it stays without data.
     """
-    from rastertable.functions.cells import pop_stddev, square_sum, zscore
+    from rastertable.functions.cells import zscore
 
-    if integer:
-        stats = let(
-            cell_moments(cells),
-            lambda m: F.struct(
-                F.try_divide(m["s"].cast("double"), m["n"].cast("double")).alias("mean"),
-                F.when(m["n"] > 0, pop_stddev(m["n"], m["s"], square_sum(m["hi"], m["lo"]))).alias("sd"),
-            ),
-        )
-    else:
-        stats = cell_mean_sd(cells)
+    stats = cell_mean_sd(cells)
     if not strict:
         return let(stats, lambda t: F.transform(cells, lambda v: zscore(v, t["mean"], t["sd"])))
     none = F.raise_error(F.lit("no statistics: band without data cells")).cast("array<int>")

@@ -66,10 +66,7 @@ def add_zscore(
     bands = list(bands or band_columns(df))
     return df.withColumns(
         {
-            f"{prefix}{b}": K.zscore_cells(
-                F.col(b), cell_sql_type(df, b) not in ("float", "double"), strict
-            )
-            for b in bands
+            f"{prefix}{b}": K.zscore_cells(F.col(b), strict) for b in bands
         }
     )
 

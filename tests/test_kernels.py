@@ -72,7 +72,7 @@ def test_zscore_cells(spark):
     a = np.array([1, 5, 9, 200, 3, 7])
     want = np.trunc((a - a.mean()) / a.std()).astype(int).tolist()
     assert one(spark, a, K.zscore_cells) == want
-    assert one(spark, a, lambda c: K.zscore_cells(c.cast("array<double>"), False)) == want
+    assert one(spark, a, lambda c: K.zscore_cells(c.cast("array<double>"))) == want
     assert one(spark, [4, 4, None], K.zscore_cells) == [0, 0, None]
     assert one(spark, [None, None], lambda c: K.zscore_cells(c, strict=False)) == [None, None]
 
