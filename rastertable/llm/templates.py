@@ -10,10 +10,18 @@ document, be it the same (a copy) or another one (a re-parameterised item).
 Runs of windows with equal values are also judged on their own, so that one
 changed value does not hide a copied passage.
 
+A window that is mostly placeholders matches too much to be joined by itself.
+It is compared on the diagonals where a window with enough plain words matched,
+so that it continues a run but never starts one.  Copies need no plain words:
+windows of the words themselves, lower-cased and without placeholders, are
+joined as well, and a run of them counts if it is long enough.
+
 Only windows that pass a bounded filter of the benchmark's windows leave the
 task that reads a text; the join then is exact.  Items shorter than a window
-are searched whole; those with fewer than ``least`` canonical words, or mostly
-placeholders, say too little and are never matched.
+are searched whole; those with fewer than ``least`` words say too little and
+are never matched.  Items without any window of enough plain words are found
+as copies only.  The length of a run is in canonical words, that of a copy in
+words.
 
 Edge cases: null and empty texts hold nothing.  Repeated rows get the same
 result.  Several items may share windows; the smallest item_id is reported.
@@ -56,6 +64,8 @@ DROP, PLAIN, NUMBER, QUANTITY, UNIT, CAPITAL, NAME = range(7)
 _NUMBER = re.compile(rb"[+-]?[0-9][0-9.,:/]*")
 _QUANTITY = re.compile(rb"[+-]?[0-9][0-9.,:/]*(%|[A-Za-z]{1,3})")
 _STRIP = b".,;:!?\"'()[]{}<>*_`|#&$"
+#: Kinds of windows: the words themselves, enough plain words, mostly placeholders.
+COPY, TEMPLATE, DENSE = range(3)
 _PLACEHOLDER = {NUMBER: U64(0x11), QUANTITY: U64(0x22), NAME: U64(0x33)}
 
 
@@ -104,7 +114,8 @@ class Canonical:
         self.hash.append(xxhash.xxh3_64_intdigest(lower))
 
     def of(self, texts: list[bytes | None]):
-        """(document numbers, hashes, plain flags, starts in ``words``, words)."""
+        """(document numbers, hashes, plain flags, starts in ``words``, words) of canonical
+        words, and (document numbers, hashes) of the words themselves."""
         self.words.trim()
         split = [(t or b"").split() for t in texts]
         doc = np.repeat(np.arange(len(split)), [len(w) for w in split])
@@ -117,6 +128,7 @@ class Canonical:
         kind, ends, h = (t[at] for t in self.table)
         kept = np.flatnonzero(kind != DROP)
         doc, kind, ends, h = doc[kept], kind[kept], ends[kept], h[kept]
+        own = doc, h
         n = len(kept)
         with_before = np.zeros(n, bool)
         with_before[1:] = doc[1:] == doc[:-1]
@@ -129,7 +141,7 @@ class Canonical:
         stay = ~unit & ~((kind == NAME) & before(kind == NAME))
         for k, value in _PLACEHOLDER.items():
             h = np.where(kind == k, value, h)
-        return doc[stay], h[stay], (kind == PLAIN)[stay], kept[stay], words
+        return doc[stay], h[stay], (kind == PLAIN)[stay], kept[stay], words, own
 
 
 def _slots(words: list[bytes], start: np.ndarray, plain: np.ndarray, first: int, size: int) -> list[str]:
@@ -142,38 +154,53 @@ def _slots(words: list[bytes], start: np.ndarray, plain: np.ndarray, first: int,
     return out
 
 
-_WINDOWS = "key long, pos int, size int, w long, slots array<string>, total int"
+_WINDOWS = "key long, pos int, size int, w long, kind int, slots array<string>, total int"
+
 
+def _joined_on(at: np.ndarray, doc: np.ndarray, enough: np.ndarray) -> np.ndarray:
+    """Of consecutive windows ``at`` of one document, those of stretches with a window of enough plain words."""
+    stretch = np.cumsum(np.append(True, (np.diff(at) != 1) | (doc[at[1:]] != doc[at[:-1]]))[: len(at)])
+    return at[np.bincount(stretch, weights=enough[at])[stretch] > 0] if len(at) else at
 
-def _windows(batches, p: TemplateParams, sizes: list[int] | None, bits):
+
+def _windows(batches, p: TemplateParams, sizes: dict[int, list[int]] | None, bits):
     """(key, text) batches to windows; of whole items if ``sizes`` is None, else those in the filter."""
     canonical = Canonical()
+    every = list(range(p.least, p.window + 1))
     for batch in batches:
         keys = np.array(batch.column(0).to_pylist(), np.int64)
-        doc, h, plain, start, words = canonical.of(batch.column(1).to_pylist())
-        total = np.bincount(doc, minlength=len(keys))
-        begin = np.cumsum(total) - total
+        doc, h, plain, start, words, own = canonical.of(batch.column(1).to_pylist())
         plains = np.concatenate([[0], np.cumsum(plain)])
         rows = []
-        for size in sizes if sizes is not None else range(p.least, p.window + 1):
-            w = window_hashes(h, size, seed=size)
-            if not len(w):
-                continue
+
+        def usable(doc, h, size, seed):
+            """Window hashes, numbers of the windows to look at, and words before and in each document."""
+            total = np.bincount(doc, minlength=len(keys))
+            w = window_hashes(h, size, seed=seed)
             first = np.arange(len(w))
-            ok = (doc[first] == doc[first + size - 1]) & (plains[first + size] - plains[first] >= p.plain_share * size)
+            ok = doc[first] == doc[first + size - 1] if len(w) else np.zeros(0, bool)
             if sizes is None:
                 # An item has windows of the full size, or one of its own size if it is shorter.
                 ok &= np.where(total[doc[first]] >= p.window, size == p.window, total[doc[first]] == size)
             else:
                 ok &= bloom.maybe_in(bits.value, w)
-            for k in np.flatnonzero(ok):
+            return w.view(np.int64), np.flatnonzero(ok), np.cumsum(total) - total, total
+
+        for size in sizes[COPY] if sizes is not None else every:
+            w, at, begin, total = usable(*own, size, 1000 + size)
+            rows += [(keys[d], k - begin[d], size, w[k], COPY, [], total[d]) for k, d in zip(at, own[0][at])]
+        for size in sizes[TEMPLATE] if sizes is not None else every:
+            w, at, begin, total = usable(doc, h, size, size)
+            enough = plains[size:] - plains[:-size] >= p.plain_share * size
+            for k in _joined_on(at, doc, enough):
                 d = doc[k]
-                rows.append((keys[d], k - begin[d], size, int(w[k : k + 1].view(np.int64)[0]), _slots(words, start, plain, k, size), total[d]))
+                kind = TEMPLATE if enough[k] else DENSE
+                rows.append((keys[d], k - begin[d], size, w[k], kind, _slots(words, start, plain, k, size), total[d]))
         if rows:
             cols = zip(*rows)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32())
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "pos", "size", "w", "slots", "total"]
+                [pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "pos", "size", "w", "kind", "slots", "total"]
             )
 
 
@@ -185,42 +212,59 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: TemplateParams |
     of_items = cut(
         map_arrow(items.select("ik", "text"), lambda b: _windows(b, p, None, None), _WINDOWS)
         .join(items.groupBy("ik").agg(F.min("item_id").alias("item_id")), F.col("key") == F.col("ik"))
-        .select("ik", "item_id", F.col("pos").alias("ipos"), "size", "w", F.col("slots").alias("islots"), F.col("total"))
+        .select("ik", "item_id", F.col("pos").alias("ipos"), "size", "w", "kind", F.col("slots").alias("islots"), F.col("total"))
     )
-    sizes = [r["size"] for r in of_items.select("size").distinct().collect()]
+    kinds = {(r["kind"], r["size"]) for r in of_items.select("kind", "size").distinct().collect()}
+    sizes = {kind: sorted(size for k, size in kinds if k == kind) for kind in (COPY, TEMPLATE)}
     bits = docs.sparkSession.sparkContext.broadcast(bloom.build(of_items, "w"))
     found = map_arrow(docs.select(doc_key().alias("dk"), raw_text().alias("text")), lambda b: _windows(b, p, sizes, bits), _WINDOWS)
-    hits = (
-        found.select(F.col("key").alias("dk"), "pos", "size", "w", "slots")
+    # Read once for each kind: written once, so that texts are read once.
+    found = cut(found.select(F.col("key").alias("dk"), "pos", "size", "w", "kind", "slots").distinct())
+
+    def of_kind(windows: DataFrame, kind: int) -> DataFrame:
+        return windows.where(F.col("kind") == kind).drop("kind")
+
+    offset = (F.col("pos") - F.col("ipos")).alias("diag")
+    columns = ["dk", "ik", "item_id", "pos", "ipos", "size", "slots", "islots", "total"]
+    enough = cut(of_kind(found, TEMPLATE).join(of_kind(of_items, TEMPLATE), ["w", "size"]).select(*columns, F.lit(True).alias("enough")))
+    dense = (
+        enough.select("dk", "ik", "size", offset)
         .distinct()
-        .join(of_items, ["w", "size"])
-        .withColumn("diag", F.col("pos") - F.col("ipos"))
-        .withColumn("same", F.col("slots") == F.col("islots"))
+        .join(of_kind(of_items, DENSE), ["ik", "size"])
+        .withColumn("pos", F.col("ipos") + F.col("diag"))
+        .join(of_kind(found, DENSE), ["dk", "pos", "size", "w"])
+        .select(*columns, F.lit(False).alias("enough"))
     )
+    copies = of_kind(found, COPY).drop("slots").join(of_kind(of_items, COPY), ["w", "size"])
+    hits = enough.union(dense).withColumn("diag", offset).withColumn("same", F.col("slots") == F.col("islots"))
     # Consecutive windows of one diagonal; a group holds at most the windows of one item.
     diag = ["dk", "ik", "diag"]
     hits = hits.withColumn("island", F.col("ipos") - F.row_number().over(Window.partitionBy(*diag).orderBy("ipos")))
-    # Read twice below: written once, so that texts are read once.
+    number = F.row_number().over(Window.partitionBy(*diag, "enough").orderBy("ipos"))
+    hits = hits.withColumn("island_enough", F.col("ipos") - number)
+    # Read three times below.
     hits = cut(hits)
     hits = hits.withColumn("island_same", F.col("ipos") - F.row_number().over(Window.partitionBy(*diag, "same").orderBy("ipos")))
     pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")))))
     need = F.least(F.lit(p.run), F.col("total"))
+    run = [(F.count("*") + F.max("size") - 1).alias("run"), F.max("total").alias("total"), F.min("item_id").alias("item_id")]
 
     def runs(rows: DataFrame, island: str) -> DataFrame:
         return (
             rows.groupBy(*diag, island)
-            .agg(
-                (F.count("*") + F.max("size") - 1).alias("run"),
-                F.max("total").alias("total"),
-                F.min("item_id").alias("item_id"),
-                pairs.alias("pairs"),
-            )
+            .agg(*run, pairs.alias("pairs"), F.max("enough").alias("enough"))
             .where(F.col("run") >= need)
             .where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["i"]))))
-            .select("dk", "ik", "item_id", "run")
+            .select("dk", "ik", "item_id", "run", "enough")
         )
 
-    every = runs(hits, "island").union(runs(hits.where("same"), "island_same"))
+    # A run with other values needs a window of enough plain words.  Runs without windows of
+    # mostly placeholders are also judged on their own: the others may not be consistent.
+    changed = runs(hits, "island").where("enough").union(runs(hits.where("enough"), "island_enough"))
+    copies = copies.withColumn("diag", offset)
+    copies = copies.withColumn("island", F.col("ipos") - F.row_number().over(Window.partitionBy(*diag).orderBy("ipos")))
+    copied = copies.groupBy(*diag, "island").agg(*run).where(F.col("run") >= need).select("dk", "ik", "item_id", "run")
+    every = changed.union(runs(hits.where("same"), "island_same")).drop("enough").union(copied)
     return every.groupBy("dk").agg(F.countDistinct("ik").alias("items"), F.min("item_id").alias("item_id"), F.max("run").alias("run"))
 
 

@@ -144,6 +144,29 @@ def test_templates(spark, bench, edges, empty):
     assert templates.decontaminate(edges, bench).columns == edges.columns
 
 
+DENSE = [
+    (1, "Tom has 3 apples and 5 pears"),
+    (2, "Anna bought 4 pens, Bob bought 6 books, Emma bought 7 pens, Paul bought 9 books"),
+    (3, "the old miller of the valley sold Tom 3 Anna 4 Tom 5 Emma 6 sacks of the best white flour"),
+    (4, "walking slowly along the river Tom 3 Paul saw 4 Mia"),
+]
+
+
+def test_templates_of_mostly_placeholders(spark):
+    """Copies need no plain words, and such windows do not end a run of changed values."""
+    items = spark.createDataFrame(DENSE, "item_id long, text string")
+    docs = [(i, f"we know that {t} and that is all") for i, t in DENSE]
+    docs += [
+        (11, "so the old miller of the valley sold Mia 7 Paul 8 Mia 9 Lucia 2 sacks of the best white flour then"),
+        (12, "so the old miller of the valley sold Mia 7 Paul 8 Jose 9 Lucia 2 loaves of the best white bread then"),
+        (13, "now walking slowly along the river Anna 5 Bob saw 6 Emma"),
+        (14, "Mia 7 Paul 8 Jose 9 Lucia 2 and " * 40),
+        (15, "Mia bought 3 pens, Paul bought 5 books"),
+    ]
+    got = {r["doc_id"]: r for r in templates.report(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert {i: r["item_id"] for i, r in got.items() if not r["kept"]} == {1: 1, 2: 2, 3: 3, 4: 4, 11: 3, 13: 4}
+
+
 def test_pii_edges(spark, edges, empty):
     rows = pii.report(edges).collect()
     assert len(rows) == N and pii.report(empty).count() == 0
