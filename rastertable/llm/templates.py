@@ -13,8 +13,10 @@ changed value does not hide a copied passage.
 A window that is mostly placeholders matches too much to be joined by itself.
 It is compared on the diagonals where a window with enough plain words matched,
 so that it continues a run but never starts one.  Copies need no plain words:
-windows of the words themselves, lower-cased and without placeholders, are
-joined as well, and a run of them counts if it is long enough.
+windows of the words themselves, case-folded and without placeholders, are
+joined as well, and a run of them counts if it is long enough.  Whether a word
+is taken for a name depends on its case and on the word before it; these
+windows depend on neither, so copies are found in any case and after anything.
 
 Only windows that pass a bounded filter of the benchmark's windows leave the
 task that reads a text; the join then is exact.  Items shorter than a window
@@ -111,7 +113,8 @@ class Canonical:
                 kind = CAPITAL
         self.kind.append(kind)
         self.ends.append(word.rstrip(b"\"')]")[-1:] in (b".", b"!", b"?", b":"))
-        self.hash.append(xxhash.xxh3_64_intdigest(lower))
+        # Folded, so that an upper-cased "ß" (SS) or final sigma is the same word.
+        self.hash.append(xxhash.xxh3_64_intdigest(core.decode("utf-8", "replace").casefold().encode()))
 
     def of(self, texts: list[bytes | None]):
         """(document numbers, hashes, plain flags, starts in ``words``, words) of canonical

@@ -167,6 +167,16 @@ def test_templates_of_mostly_placeholders(spark):
     assert {i: r["item_id"] for i, r in got.items() if not r["kept"]} == {1: 1, 2: 2, 3: 3, 4: 4, 11: 3, 13: 4}
 
 
+def test_template_copies_in_any_case_and_place(spark):
+    german = "wie lang ist der Weg vom Haus zur alten Brücke an der Straße nach Köln am Fluss"
+    items = [(1, german), (2, "Zwei Wagen fahren auf einem Weg zur Brücke hin"), (3, "the bridge over it and the Old Mill were seen by Greta and Otto there")]
+    docs = [(1, german.lower()), (2, german.upper()), (3, "Aufgaben für Anna\n" + items[1][1]), (4, "ein Text von Otto " + items[1][1].lower())]
+    docs += [(5, items[2][1].lower()), (6, items[2][1].title()), (7, "wie lang ist der Weg vom Dorf zur neuen Kirche an der Straße nach Bonn am Fluss")]
+    df, bench = (spark.createDataFrame(r, f"{c} long, text string") for r, c in ((docs, "doc_id"), (items, "item_id")))
+    got = {r["doc_id"]: r["item_id"] for r in templates.report(df, bench).where("NOT kept").collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3}
+
+
 def test_pii_edges(spark, edges, empty):
     rows = pii.report(edges).collect()
     assert len(rows) == N and pii.report(empty).count() == 0
