@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rastertable.llm import bloom, bpe, langid, lines, mixing, neardup, ordinal, pii, rules, templates, toxicity
 from rastertable.llm.catalog import byte_vocabulary
 from rastertable.llm.components import components
@@ -72,6 +73,20 @@ def test_near_duplicates_of_large_groups(spark):
     assert got == set(plain_near_dedup(dict(enumerate(texts))))
 
 
+def test_pipeline_near_duplicates_at_80_percent(spark):
+    """Groups whose documents differ from the first by one changed word of 40 to 59 (similarity 0.75 to 0.84)."""
+    rnd = random.Random(6)
+    texts = {}
+    for k in range(120):
+        w = ["g%dw%d" % (k, rnd.randrange(10_000)) for _ in range(40 + k // 6)]
+        texts[2 * k] = " ".join(w)
+        w[len(w) // 2] = "changed"
+        texts[2 * k + 1] = " ".join(w)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert got == set(plain_near_dedup(texts, percent=80)) < set(plain_near_dedup(texts))
+
+
 def test_components_of_a_path(spark):
     n = 300
     digest = lambda c: F.unhex(F.md5(c.cast("string")))
