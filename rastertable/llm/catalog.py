@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertable.llm import bpe, langid, lines, mixing, neardup, ordinal, pii, rules, templates, toxicity
-from rastertable.llm.sql import LINES_SQL, NEAR_DUPLICATES_SQL, RULES_SQL
+from rastertable.llm import bpe, clusters, langid, lines, mixing, neardup, neighbours, ordinal, phrases, pii, rules, templates, toxicity
+from rastertable.llm.sql import CLUSTERS_SQL, LINES_SQL, NEAR_DUPLICATES_SQL, PHRASES_SQL, RULES_SQL
 from rastertable.llm.text import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,22 @@ def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.report(embeddings(spark, sf_dir))
+
+
+def op12_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(embeddings(spark, sf_dir))
+
+
+def op13_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ordinal_quality": op1_ordinal_quality,
     "op2_quality_rules": op2_quality_rules,
@@ -77,12 +93,17 @@ QUERIES: dict[str, Query] = {
     "op8_line_suffixes": op8_line_suffixes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_templates": op10_templates,
+    "op11_ptolemaic_clusters": op11_ptolemaic_clusters,
+    "op12_collision_counting": op12_collision_counting,
+    "op13_trie_collocations": op13_trie_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": RULES_SQL,
     "op3_tensored_minhash": NEAR_DUPLICATES_SQL,
     "op8_line_suffixes": LINES_SQL,
+    "op11_ptolemaic_clusters": CLUSTERS_SQL,
+    "op13_trie_collocations": PHRASES_SQL,
 }
 
 

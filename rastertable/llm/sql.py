@@ -161,3 +161,77 @@ GROUP BY t.doc_id
 
 
 LINES_SQL = lines_sql()
+
+
+def clusters_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Lloyd's rounds as one chain of tables: x holds components, c0, c1, ... the centroids."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+d{t} AS MATERIALIZED (
+  SELECT x.r, c.j, sum((x.x - c.x) * (x.x - c.x))::BIGINT AS d FROM x JOIN c{t} c USING (i) GROUP BY x.r, c.j
+),
+a{t} AS MATERIALIZED (SELECT r, j, d FROM d{t} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1)""")
+        if t < rounds:
+            steps.append(f"""
+m{t} AS (SELECT j, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{t} JOIN x USING (r) GROUP BY j, i),
+c{t + 1} AS MATERIALIZED (
+  SELECT j, i, CASE WHEN n IS NULL THEN c.x ELSE s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END END::BIGINT AS x
+  FROM c{t} c LEFT JOIN m{t} USING (j, i)
+)""")
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND len([z FOR z IN embedding IF z IS NULL OR NOT isfinite(z)]) = 0
+),
+x AS MATERIALIZED (SELECT r, i, floor(256 * x)::BIGINT AS x FROM (SELECT r, unnest(range({dims})) AS i, unnest(e) AS x FROM v)),
+s AS (SELECT r, row_number() OVER (ORDER BY sha256(concat('2:', vec_id)), vec_id, e) - 1 AS j FROM v QUALIFY j < {k}),
+c0 AS MATERIALIZED (SELECT j, i, x FROM s JOIN x USING (r)),
+{",".join(steps)},
+h AS (SELECT j, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY j)
+SELECT v.vec_id, a.j::INTEGER AS cluster, a.d AS distance,
+  (sum(a.d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN h USING (j)
+"""
+
+
+CLUSTERS_SQL = clusters_sql()
+
+
+def phrases_sql(min_count: int = 10, top: int = 2000, percent: int = 50) -> str:
+    return f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lowered("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS w FROM p),
+g AS (
+  SELECT lang, list_slice(w, i, i + m - 1) AS g FROM (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m
+  )
+),
+f AS MATERIALIZED (SELECT lang, g, count(*) AS f FROM g GROUP BY lang, g),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, g, f AS a FROM f WHERE len(g) > 1 AND f >= {min_count}),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, (1000000 * a::HUGEINT * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, len(c.g))
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, list_slice(g, 1, 2) AS g, a FROM cand WHERE len(g) = 3 UNION ALL SELECT lang, list_slice(g, 2, 3), a FROM cand WHERE len(g) = 3
+),
+longer AS (SELECT lang, g, max(a) AS b FROM inner_ GROUP BY lang, g),
+kept AS (
+  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, score FROM best b LEFT JOIN longer x ON x.lang = b.lang AND x.g = b.g
+  WHERE x.b IS NULL OR 100 * x.b < {percent} * a
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank::INTEGER AS rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= {top}
+"""
+
+
+PHRASES_SQL = phrases_sql()

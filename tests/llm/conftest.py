@@ -43,7 +43,7 @@ def empty(edges):
 @pytest.fixture(scope="session")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     yield con
     con.close()
