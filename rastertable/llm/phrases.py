@@ -11,11 +11,12 @@ brings the runs of one prefix (language, first word and a digit of the others,
 so that a frequent word's subtree is spread) to one partition, where they are
 merged.
 
-Texts are read twice.  The first pass counts words and pairs.  A longer phrase
-occurs at most as often as the pairs in it, so the second pass counts only
-phrases of three words whose pairs both occur ``min_count`` times.  A filter of
-2 MB tells most others apart where texts are read; counts of what passes it are
-exact, so the filter saves work and decides nothing.
+Texts are read twice.  The first pass adds up 64-bit hashes of words and pairs.
+What occurs ``min_count`` times is marked in a filter of bounded size, which the
+second pass uses where texts are read: the tries count only words and pairs
+that it holds, and phrases of three words whose pairs it holds, for a longer
+phrase occurs at most as often as what it is made of.  Counts are of the words
+themselves, so equal hashes or a full filter cost work and decide nothing.
 
 A phrase of ``min_count`` occurrences is scored by its weakest cut,
 ``floor(1000000 a a / (l r))`` in decimals of 38 digits (exact for counts below
@@ -59,6 +60,7 @@ class PhraseParams:
     entries: int = 800_000
     words: int = 500_000
     spread: int = 16
+    filter_bits: int = 26
 
 
 class HatTrie:
@@ -146,8 +148,8 @@ class Vocabulary:
         self.known = np.empty(0, U64)
         self.words[b"."]  # the break is id 0
 
-    def ids(self, text: bytes) -> np.ndarray:
-        return self.words.ids(text.lower().translate(_BREAKS).replace(b".", b" . ").split())
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        return self.words.ids(words)
 
     def hashes(self, ids: np.ndarray) -> np.ndarray:
         if self.fresh:
@@ -156,9 +158,18 @@ class Vocabulary:
         return self.known[ids]
 
 
-def pair_hash(first: np.ndarray, second: np.ndarray, lang: str) -> np.ndarray:
-    a, b = odd_constants(2, 13)
-    return mix64(first * a + second * b + U64(xxhash.xxh3_64_intdigest(lang.encode())))
+class Keys:
+    """64-bit hashes of a language's words and pairs, from the hashes of words."""
+
+    def __init__(self, lang: str):
+        self.lang = U64(xxhash.xxh3_64_intdigest(lang.encode()))
+
+    def words(self, h: np.ndarray) -> np.ndarray:
+        return mix64(h + self.lang)
+
+    def pairs(self, h: np.ndarray) -> np.ndarray:
+        a, b = odd_constants(2, 13)
+        return mix64(h[:-1] * a + h[1:] * b + self.lang)
 
 
 SCHEMA = "lang string, w1 binary, w2 binary, w3 binary, n long"
@@ -167,26 +178,24 @@ SCHEMA = "lang string, w1 binary, w2 binary, w3 binary, n long"
 class _Counting:
     """The tries of one task, by language."""
 
-    def __init__(self, p: PhraseParams, pairs: np.ndarray | None):
-        self.p, self.pairs = p, pairs
+    def __init__(self, p: PhraseParams, frequent: np.ndarray):
+        self.p, self.frequent = p, frequent
         self.vocabulary = Vocabulary()
         self.tries: dict[str, HatTrie] = {}
         self.totals: Counter = Counter()
 
-    def add(self, lang: str, ids: np.ndarray) -> None:
-        """Count the phrases of word ids with breaks between pieces."""
+    def add(self, lang: str, ids: np.ndarray, starts: int) -> None:
+        """Count the phrases that begin at the first ``starts`` of the ids, which have breaks between pieces."""
         trie = self.tries.setdefault(lang, HatTrie(self.p.burst))
-        word = ids != 0
-        both = word[:-1] & word[1:]
-        if self.pairs is None:
-            self.totals[lang] += int(word.sum())
-            trie.add(ids[word] << (2 * BITS))
-            trie.add((ids[:-1][both] << (2 * BITS)) | (ids[1:][both] << BITS))
-            return
-        h = self.vocabulary.hashes(ids)
-        both &= bloom.maybe_in(self.pairs, pair_hash(h[:-1], h[1:], lang))
-        three = both[:-1] & both[1:]
-        trie.add((ids[:-2][three] << (2 * BITS)) | (ids[1:-1][three] << BITS) | ids[2:][three])
+        keys, h, word = Keys(lang), self.vocabulary.hashes(ids), ids != 0
+        self.totals[lang] += int(word[:starts].sum())
+        one = word & bloom.maybe_in(self.frequent, keys.words(h))
+        two = word[:-1] & word[1:] & bloom.maybe_in(self.frequent, keys.pairs(h))
+        three = two[:-1] & two[1:]
+        first = ids << (2 * BITS)
+        trie.add(first[:starts][one[:starts]])
+        trie.add((first[:-1] | ids[1:] << BITS)[:starts][two[:starts]])
+        trie.add((first[:-2] | ids[1:-1] << BITS | ids[2:])[:starts][three[:starts]])
 
     def many_words(self) -> bool:
         return len(self.vocabulary.words) > self.p.words
@@ -194,10 +203,10 @@ class _Counting:
     def many_phrases(self) -> bool:
         return sum(t.size for t in self.tries.values()) > self.p.entries
 
-    def take(self, by_lang: dict[str, list[np.ndarray]]):
-        """Count a batch; yields the runs that have to be spilled."""
-        for lang, parts in by_lang.items():
-            self.add(lang, np.concatenate(parts))
+    def take(self, parts: list[tuple[str, np.ndarray, int]]):
+        """Count some texts; yields the runs that have to be spilled."""
+        for lang, ids, starts in parts:
+            self.add(lang, ids, starts)
             if self.many_phrases():
                 yield from self.runs(self.p.entries // 2)
         # With new ids the tries start anew, so they are spilled whole.
@@ -234,52 +243,70 @@ class _Counting:
             )
 
 
-def _counts(docs: DataFrame, p: PhraseParams, pairs: np.ndarray | None) -> DataFrame:
-    """(lang, w1, w2, w3, n): merged counts of phrases; a null w1 holds all words of a language."""
-    shared = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
+#: Words that are turned into ids and counted at a time.
+CHUNK = 200_000
 
-    def run(batches):
-        here = _Counting(p, None if shared is None else shared.value)
-        stop = np.zeros(1, np.int64)
-        for batch in batches:
-            by_lang: dict[str, list[np.ndarray]] = {}
-            held = 0
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = here.vocabulary.ids(text.as_py())
-                by_lang.setdefault(lang, []).extend((ids, stop))
-                held += len(ids)
-                # Long texts are counted at once, so that memory follows the trie, not the batch.
-                if held > 200_000 or here.many_words():
-                    yield from here.take(by_lang)
+
+def _pieces(batches, vocabulary: Vocabulary, chunk: int = CHUNK):
+    """Lists of (lang, word ids, number of starts); a longer text comes in parts that know the next two words."""
+    stop = np.zeros(1, np.int64)
+    for batch in batches:
+        by_lang: dict[str, list[np.ndarray]] = {}
+        held = 0
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            words = text.as_py().lower().translate(_BREAKS).replace(b".", b" . ").split()
+            if len(words) > chunk:
+                for s in range(0, len(words), chunk):
+                    yield _joined(by_lang) + [(lang, vocabulary.ids(words[s : s + chunk + 2]), chunk)]
                     by_lang, held = {}, 0
-            yield from here.take(by_lang)
-        yield from here.runs(0)
-        if here.totals:
-            langs, n = zip(*here.totals.items())
-            none = pa.nulls(len(langs), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), none, none, none, pa.array(n, pa.int64())], names=["lang", "w1", "w2", "w3", "n"])
+                continue
+            by_lang.setdefault(lang, []).extend((vocabulary.ids(words), stop))
+            held += len(words)
+            if held > chunk:
+                yield _joined(by_lang)
+                by_lang, held = {}, 0
+        yield _joined(by_lang)
+
+
+def _joined(by_lang: dict[str, list[np.ndarray]]) -> list[tuple[str, np.ndarray, int]]:
+    parts = [(lang, np.concatenate(ids)) for lang, ids in by_lang.items()]
+    return [(lang, ids, len(ids)) for lang, ids in parts]
 
+
+def _texts(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), raw_text().alias("text"))
-    runs = map_arrow(texts.where(F.col("text").isNotNull()), run, SCHEMA)
-    digit = F.pmod(F.xxhash64("w2", "w3"), F.lit(p.spread))
-    merged = runs.withColumn("digit", digit).repartition("lang", "w1", "digit").groupBy("lang", "w1", "digit", "w2", "w3")
-    return merged.agg(F.sum("n").alias("n")).drop("digit")
+    return texts.where(F.col("text").isNotNull())
 
 
-def _pair_filter(pairs: DataFrame) -> np.ndarray:
-    """The filter of all frequent pairs, by the hash that ``_Counting`` forms."""
+def frequent_filter(docs: DataFrame, p: PhraseParams) -> np.ndarray:
+    """The filter of all words and pairs with ``min_count``."""
 
     def run(batches):
-        for batch in batches:
-            langs = batch.column(0).to_pylist()
-            first, second = (np.array([xxhash.xxh3_64_intdigest(w) for w in batch.column(i).to_pylist()], U64) for i in (1, 2))
-            out = np.empty(len(langs), U64)
-            for lang in set(langs):
-                rows = np.array([x == lang for x in langs])
-                out[rows] = pair_hash(first[rows], second[rows], lang)
-            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], names=["h"])
-
-    return bloom.build(map_arrow(pairs.select("lang", "w1", "w2"), run, "h long"), "h")
+        vocabulary, held, size = Vocabulary(), [], 0
+
+        def summed():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            for s in range(0, len(h), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(h[s : s + 100_000].view(np.int64)), pa.array(n[s : s + 100_000])], names=["h", "n"])
+
+        for parts in _pieces(batches, vocabulary):
+            for lang, ids, starts in parts:
+                keys, h, word = Keys(lang), vocabulary.hashes(ids), ids != 0
+                two = word[:-1] & word[1:]
+                held += [keys.words(h[:starts][word[:starts]]), keys.pairs(h)[:starts][two[:starts]]]
+                size += len(held[-2]) + len(held[-1])
+            if size > p.entries * 5:
+                yield from summed()
+                held.clear()
+                size = 0
+            if len(vocabulary.words) > p.words:
+                vocabulary.start()
+        if held:
+            yield from summed()
+
+    # Rows are summed in the tasks already, so they are dealt out before Spark sums them.
+    sums = map_arrow(_texts(docs), run, "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+    return bloom.build(sums.where(F.col("n") >= p.min_count), "h", p.filter_bits)
 
 
 def frequent_phrases(docs: DataFrame, params: PhraseParams | None = None) -> DataFrame:
@@ -288,13 +315,25 @@ def frequent_phrases(docs: DataFrame, params: PhraseParams | None = None) -> Dat
     Words that a phrase does not have are empty.
     """
     p = params or PhraseParams()
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, p))
+
+    def run(batches):
+        here = _Counting(p, shared.value)
+        for parts in _pieces(batches, here.vocabulary):
+            yield from here.take(parts)
+        yield from here.runs(0)
+        if here.totals:
+            langs, n = zip(*here.totals.items())
+            none = pa.nulls(len(langs), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), none, none, none, pa.array(n, pa.int64())], names=["lang", "w1", "w2", "w3", "n"])
+
+    runs = map_arrow(_texts(docs), run, SCHEMA)
+    digit = F.pmod(F.xxhash64("w2", "w3"), F.lit(p.spread))
+    merged = runs.withColumn("digit", digit).repartition("lang", "w1", "digit").groupBy("lang", "w1", "digit", "w2", "w3")
+    counts = merged.agg(F.sum("n").alias("n")).where(F.col("w1").isNull() | (F.col("n") >= p.min_count))
     none = F.lit(b"")
-    enough = F.col("w1").isNull() | (F.col("n") >= p.min_count)
-    size = F.when(F.col("w1").isNull(), 0).when(F.col("w2") == none, 1).otherwise(2)
-    short = cut(_counts(docs, p, None).where(enough).withColumn("size", size))
-    pairs = _pair_filter(short.where("size = 2"))
-    long = _counts(docs, p, pairs).where(enough & F.col("w1").isNotNull()).withColumn("size", F.lit(3))
-    return short.union(cut(long))
+    size = F.when(F.col("w1").isNull(), 0).when(F.col("w2") == none, 1).when(F.col("w3") == none, 2).otherwise(3)
+    return cut(counts.select("lang", "w1", "w2", "w3", "n", size.alias("size")))
 
 
 def _cut_score(a: str, left: str, right: str) -> Column:

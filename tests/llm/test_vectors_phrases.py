@@ -219,7 +219,7 @@ def phrase_rows():
     ]
 
 
-@pytest.mark.parametrize("limits", [{}, {"burst": 4, "entries": 30, "words": 5, "spread": 2}, {"top": 7}])
+@pytest.mark.parametrize("limits", [{}, {"burst": 4, "entries": 30, "words": 5, "spread": 2}, {"top": 7, "filter_bits": 15}])
 def test_phrases_match_brute_force(spark, limits):
     rows = phrase_rows()
     p = phrases.PhraseParams(**limits)
@@ -231,6 +231,29 @@ def test_phrases_match_brute_force(spark, limits):
     assert phrases.mine(df.where("false"), p).count() == 0
 
 
+def test_long_texts_in_parts(spark, monkeypatch):
+    """Every part knows the next words, so a cut inside a piece loses and doubles nothing."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["a", "b", "c", "d.", "e"], n)) for n in (3, 50, 51, 52, 900)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array([t.encode() for t in texts])], names=["lang", "text"])
+    here = phrases._Counting(phrases.PhraseParams(), np.full(1 << 12, 255, np.uint8))
+    for parts in phrases._pieces([batch], here.vocabulary, chunk=17):
+        assert not list(here.take(parts))
+    words = [w.decode() for w in here.vocabulary.words]
+    got = Counter()
+    for table in here.tries["en"].tables:
+        for key, n in table.items():
+            got[" ".join(words[i] for i in (key >> 42, key >> 21 & phrases.MASK, key & phrases.MASK) if i)] += n
+    want = Counter()
+    for text in texts:
+        for piece in text.split("."):
+            w = piece.split()
+            want.update(" ".join(w[i : i + m]) for m in (1, 2, 3) for i in range(len(w) - m + 1))
+    assert got == want and here.totals["en"] == sum(n for g, n in want.items() if " " not in g)
+
+
 def test_trie_splits_and_spills():
     rng = np.random.default_rng(4)
     trie, want = phrases.HatTrie(50), Counter()
