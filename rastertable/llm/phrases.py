@@ -11,12 +11,11 @@ brings the runs of one prefix (language, first word and a digit of the others,
 so that a frequent word's subtree is spread) to one partition, where they are
 merged.
 
-Texts are read twice.  The first pass adds up 64-bit hashes of words and pairs.
+Texts are read twice.  The first pass adds up 64-bit hashes of all phrases.
 What occurs ``min_count`` times is marked in a filter of bounded size, which the
-second pass uses where texts are read: the tries count only words and pairs
-that it holds, and phrases of three words whose pairs it holds, for a longer
-phrase occurs at most as often as what it is made of.  Counts are of the words
-themselves, so equal hashes or a full filter cost work and decide nothing.
+second pass uses where texts are read, so that the tries hold frequent phrases
+only.  Counts are of the words themselves: equal hashes or a full filter cost
+work and decide nothing.
 
 A phrase of ``min_count`` occurrences is scored by its weakest cut,
 ``floor(1000000 a a / (l r))`` in decimals of 38 digits (exact for counts below
@@ -60,7 +59,7 @@ class PhraseParams:
     entries: int = 800_000
     words: int = 500_000
     spread: int = 16
-    filter_bits: int = 26
+    filter_bits: int = 27
 
 
 class HatTrie:
@@ -158,18 +157,13 @@ class Vocabulary:
         return self.known[ids]
 
 
-class Keys:
-    """64-bit hashes of a language's words and pairs, from the hashes of words."""
-
-    def __init__(self, lang: str):
-        self.lang = U64(xxhash.xxh3_64_intdigest(lang.encode()))
-
-    def words(self, h: np.ndarray) -> np.ndarray:
-        return mix64(h + self.lang)
-
-    def pairs(self, h: np.ndarray) -> np.ndarray:
-        a, b = odd_constants(2, 13)
-        return mix64(h[:-1] * a + h[1:] * b + self.lang)
+def phrase_hashes(h: np.ndarray, words: np.ndarray, lang: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For phrases of 1, 2 and 3 words: the hash of the phrase at each place, and whether there is one."""
+    a, b, c = odd_constants(3, 13)
+    base = h * a + U64(xxhash.xxh3_64_intdigest(lang.encode()))
+    pair = base[:-1] + h[1:] * b
+    two = words[:-1] & words[1:]
+    return [(mix64(base), words), (mix64(pair), two), (mix64(pair[:-1] + h[2:] * c), two[:-1] & two[1:])]
 
 
 SCHEMA = "lang string, w1 binary, w2 binary, w3 binary, n long"
@@ -187,15 +181,14 @@ class _Counting:
     def add(self, lang: str, ids: np.ndarray, starts: int) -> None:
         """Count the phrases that begin at the first ``starts`` of the ids, which have breaks between pieces."""
         trie = self.tries.setdefault(lang, HatTrie(self.p.burst))
-        keys, h, word = Keys(lang), self.vocabulary.hashes(ids), ids != 0
-        self.totals[lang] += int(word[:starts].sum())
-        one = word & bloom.maybe_in(self.frequent, keys.words(h))
-        two = word[:-1] & word[1:] & bloom.maybe_in(self.frequent, keys.pairs(h))
-        three = two[:-1] & two[1:]
-        first = ids << (2 * BITS)
-        trie.add(first[:starts][one[:starts]])
-        trie.add((first[:-1] | ids[1:] << BITS)[:starts][two[:starts]])
-        trie.add((first[:-2] | ids[1:-1] << BITS | ids[2:])[:starts][three[:starts]])
+        words = ids != 0
+        self.totals[lang] += int(words[:starts].sum())
+        key = ids << (2 * BITS)
+        for size, (h, there) in enumerate(phrase_hashes(self.vocabulary.hashes(ids), words, lang)):
+            if size:
+                key = key[:-1] | ids[size:] << (2 - size) * BITS
+            at = np.flatnonzero(there[:starts])
+            trie.add(key[at[bloom.maybe_in(self.frequent, h[at])]])
 
     def many_words(self) -> bool:
         return len(self.vocabulary.words) > self.p.words
@@ -279,7 +272,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def frequent_filter(docs: DataFrame, p: PhraseParams) -> np.ndarray:
-    """The filter of all words and pairs with ``min_count``."""
+    """The filter of all phrases of 1 to 3 words with ``min_count``."""
 
     def run(batches):
         vocabulary, held, size = Vocabulary(), [], 0
@@ -291,10 +284,9 @@ def frequent_filter(docs: DataFrame, p: PhraseParams) -> np.ndarray:
 
         for parts in _pieces(batches, vocabulary):
             for lang, ids, starts in parts:
-                keys, h, word = Keys(lang), vocabulary.hashes(ids), ids != 0
-                two = word[:-1] & word[1:]
-                held += [keys.words(h[:starts][word[:starts]]), keys.pairs(h)[:starts][two[:starts]]]
-                size += len(held[-2]) + len(held[-1])
+                for h, there in phrase_hashes(vocabulary.hashes(ids), ids != 0, lang):
+                    held.append(h[:starts][there[:starts]])
+                    size += len(held[-1])
             if size > p.entries * 5:
                 yield from summed()
                 held.clear()
