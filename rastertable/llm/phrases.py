@@ -6,16 +6,17 @@ its leaves are hash tables ("containers") for a range of the first word, and a
 container that grows beyond ``burst`` phrases is split at a word boundary, on
 the first word while it holds several, below it on the second and third.  When
 a task holds more than ``entries`` phrases, it spills whole containers, those
-with the fewest repetitions first, as runs sorted by their words.  The shuffle
-brings the runs of one prefix (language, first word and a digit of the others,
-so that a frequent word's subtree is spread) to one partition, where they are
-merged.
-
-Texts are read twice.  The first pass adds up 64-bit hashes of all phrases.
-What occurs ``min_count`` times is marked in a filter of bounded size, which the
-second pass uses where texts are read, so that the tries hold frequent phrases
-only.  Counts are of the words themselves: equal hashes or a full filter cost
-work and decide nothing.
+with the fewest repetitions first.  Every subtree of them, the phrases of one
+first word, becomes ``spread`` runs by a digit of the second word, sorted by
+their words; one row holds a run.  The shuffle brings the runs of one prefix
+(language, first word, digit) to one partition, where they are merged; the
+digits spread the subtree of a frequent word.
+
+Texts are read three times.  First 64-bit hashes of words are added up, then
+those of longer phrases of frequent words.  What occurs ``min_count`` times is
+marked in a filter of bounded size, which the last pass uses where texts are
+read, so that the tries hold frequent phrases only.  Counts are of the words
+themselves: equal hashes or a full filter cost work and decide nothing.
 
 A phrase of ``min_count`` occurrences is scored by its weakest cut,
 ``floor(1000000 a a / (l r))`` in decimals of 38 digits (exact for counts below
@@ -56,9 +57,10 @@ class PhraseParams:
     top: int = 2000
     contained_percent: int = 50
     burst: int = 16_384
-    entries: int = 800_000
+    entries: int = 1_200_000
     words: int = 500_000
-    spread: int = 16
+    hashes: int = 4_000_000
+    spread: int = 8
     filter_bits: int = 27
 
 
@@ -166,7 +168,8 @@ def phrase_hashes(h: np.ndarray, words: np.ndarray, lang: str) -> list[tuple[np.
     return [(mix64(base), words), (mix64(pair), two), (mix64(pair[:-1] + h[2:] * c), two[:-1] & two[1:])]
 
 
-SCHEMA = "lang string, w1 binary, w2 binary, w3 binary, n long"
+#: One row per run: the words after the first as lines, and their counts.
+SCHEMA = "lang string, w1 string, digit int, tails string, n array<bigint>"
 
 
 class _Counting:
@@ -223,16 +226,29 @@ class _Counting:
         # Ranks of the words in byte order; id 0, no word, is the empty one.
         texts = [b"" if i == 0 else listed[i] for i in used.tolist()]
         order = sorted(range(len(texts)), key=texts.__getitem__)
-        words = pa.array([texts[j] for j in order], pa.binary())
+        words = [texts[j].decode() for j in order]
         rank = np.empty(len(used), np.int64)
         rank[order] = np.arange(len(used))
-        ranked = [rank[np.searchsorted(used, part)] for part in parts]
-        run = np.lexsort(ranked[::-1])
-        for s in range(0, len(run), 50_000):
-            at = run[s : s + 50_000]
+        first, second, third = (rank[np.searchsorted(used, part)] for part in parts)
+        digit = np.array([xxhash.xxh3_64_intdigest(w) % self.p.spread for w in words])[second]
+        run = np.lexsort((third, second, digit, first))
+        first, second, third, digit, counts = (x[run] for x in (first, second, third, digit, counts))
+        starts = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (digit[1:] != digit[:-1])))
+        ends = np.append(starts[1:], len(first))
+        for s in range(0, len(starts), 5_000):
+            a, b = starts[s : s + 5_000], ends[s : s + 5_000]
+            lines = [f"{words[x]} {words[y]}" if y else words[x] for x, y in zip(second[a[0] : b[-1]].tolist(), third[a[0] : b[-1]].tolist())]
+            tails = ["\n".join(lines[i:j]) for i, j in zip((a - a[0]).tolist(), (b - a[0]).tolist())]
+            offsets = pa.array(np.append(a - a[0], b[-1] - a[0]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), *(words.take(pa.array(r[at])) for r in ranked), pa.array(counts[at])],
-                names=["lang", "w1", "w2", "w3", "n"],
+                [
+                    pa.array([lang] * len(a), pa.string()),
+                    pa.array([words[x] for x in first[a].tolist()], pa.string()),
+                    pa.array(digit[a], pa.int32()),
+                    pa.array(tails, pa.string()),
+                    pa.ListArray.from_arrays(offsets, pa.array(counts[a[0] : b[-1]])),
+                ],
+                names=["lang", "w1", "digit", "tails", "n"],
             )
 
 
@@ -271,23 +287,32 @@ def _texts(docs: DataFrame) -> DataFrame:
     return texts.where(F.col("text").isNotNull())
 
 
-def frequent_filter(docs: DataFrame, p: PhraseParams) -> np.ndarray:
-    """The filter of all phrases of 1 to 3 words with ``min_count``."""
+def frequent_filter(docs: DataFrame, p: PhraseParams, words: np.ndarray | None = None) -> np.ndarray:
+    """The filter of all words with ``min_count``, or of phrases of 2 and 3 words that ``words`` holds."""
+    shared = None if words is None else docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
         vocabulary, held, size = Vocabulary(), [], 0
 
         def summed():
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            for s in range(0, len(h), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[s : s + 100_000].view(np.int64)), pa.array(n[s : s + 100_000])], names=["h", "n"])
+            h, n = np.unique(np.concatenate(held) & ~U64(255), return_counts=True)
+            while len(h):
+                # A row is one number: the hash, and a count of up to 255 in its last byte.
+                packed = (h | np.minimum(n, 255).astype(U64)).view(np.int64)
+                for s in range(0, len(packed), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(packed[s : s + 100_000])], names=["h"])
+                h, n = h[n > 255], n[n > 255] - 255
 
         for parts in _pieces(batches, vocabulary):
             for lang, ids, starts in parts:
-                for h, there in phrase_hashes(vocabulary.hashes(ids), ids != 0, lang):
-                    held.append(h[:starts][there[:starts]])
+                h, there = vocabulary.hashes(ids), ids != 0
+                found = phrase_hashes(h, there, lang)[:1]
+                if shared is not None:
+                    found = phrase_hashes(h, there & bloom.maybe_in(shared.value, found[0][0]), lang)[1:]
+                for key, there in found:
+                    held.append(key[:starts][there[:starts]])
                     size += len(held[-1])
-            if size > p.entries * 5:
+            if size > p.hashes:
                 yield from summed()
                 held.clear()
                 size = 0
@@ -297,8 +322,9 @@ def frequent_filter(docs: DataFrame, p: PhraseParams) -> np.ndarray:
             yield from summed()
 
     # Rows are summed in the tasks already, so they are dealt out before Spark sums them.
-    sums = map_arrow(_texts(docs), run, "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
-    return bloom.build(sums.where(F.col("n") >= p.min_count), "h", p.filter_bits)
+    key = F.shiftright("h", 8).alias("key")
+    sums = map_arrow(_texts(docs), run, "h long").select(key, F.col("h").bitwiseAND(255).alias("n")).repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+    return bloom.build(sums.where(F.col("n") >= p.min_count).select(F.shiftleft("key", 8).alias("h")), "h", p.filter_bits)
 
 
 def frequent_phrases(docs: DataFrame, params: PhraseParams | None = None) -> DataFrame:
@@ -307,7 +333,8 @@ def frequent_phrases(docs: DataFrame, params: PhraseParams | None = None) -> Dat
     Words that a phrase does not have are empty.
     """
     p = params or PhraseParams()
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, p))
+    words = frequent_filter(docs, p)
+    shared = docs.sparkSession.sparkContext.broadcast(words | frequent_filter(docs, p, words))
 
     def run(batches):
         here = _Counting(p, shared.value)
@@ -316,16 +343,21 @@ def frequent_phrases(docs: DataFrame, params: PhraseParams | None = None) -> Dat
         yield from here.runs(0)
         if here.totals:
             langs, n = zip(*here.totals.items())
-            none = pa.nulls(len(langs), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), none, none, none, pa.array(n, pa.int64())], names=["lang", "w1", "w2", "w3", "n"])
+            rows = [[x, None, -1, "", [k]] for x, k in zip(langs, n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.int64())))],
+                names=["lang", "w1", "digit", "tails", "n"],
+            )
 
-    runs = map_arrow(_texts(docs), run, SCHEMA)
-    digit = F.pmod(F.xxhash64("w2", "w3"), F.lit(p.spread))
-    merged = runs.withColumn("digit", digit).repartition("lang", "w1", "digit").groupBy("lang", "w1", "digit", "w2", "w3")
-    counts = merged.agg(F.sum("n").alias("n")).where(F.col("w1").isNull() | (F.col("n") >= p.min_count))
-    none = F.lit(b"")
-    size = F.when(F.col("w1").isNull(), 0).when(F.col("w2") == none, 1).when(F.col("w3") == none, 2).otherwise(3)
-    return cut(counts.select("lang", "w1", "w2", "w3", "n", size.alias("size")))
+    runs = map_arrow(_texts(docs), run, SCHEMA).repartition("lang", "w1", "digit")
+    lines = runs.select("lang", "w1", "digit", F.explode(F.arrays_zip(F.split("tails", "\n", -1).alias("tail"), F.col("n").alias("n"))).alias("x"))
+    counts = lines.groupBy("lang", "w1", "digit", F.col("x.tail").alias("tail")).agg(F.sum("x.n").alias("n"))
+    found = cut(counts.where(F.col("w1").isNull() | (F.col("n") >= p.min_count)))
+    at = F.instr("tail", " ")
+    w2 = F.when(at > 0, F.substring("tail", F.lit(1), at - 1)).otherwise(F.col("tail"))
+    w3 = F.when(at > 0, F.substring("tail", at + 1, F.length("tail"))).otherwise(F.lit(""))
+    size = F.when(F.col("w1").isNull(), 0).when(F.col("tail") == "", 1).when(at == 0, 2).otherwise(3)
+    return found.select("lang", "w1", w2.alias("w2"), w3.alias("w3"), "n", size.alias("size"))
 
 
 def _cut_score(a: str, left: str, right: str) -> Column:
@@ -336,7 +368,7 @@ def _cut_score(a: str, left: str, right: str) -> Column:
 
 def candidates(found: DataFrame, p: PhraseParams) -> DataFrame:
     """(lang, phrase, a, l, r, score): all phrases of two and three words that are not dropped."""
-    space = F.lit(b" ")
+    space = F.lit(" ")
     words = found.where("size = 1").select("lang", F.col("w1").alias("w"), F.col("n").alias("f"))
     pairs = found.where("size = 2").select("lang", F.col("w1").alias("x"), F.col("w2").alias("y"), F.col("n").alias("f"))
 
@@ -371,4 +403,4 @@ def mine(docs: DataFrame, params: PhraseParams | None = None) -> DataFrame:
     shares = shares.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= p.top)
     best = shares.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= p.top)
     totals = found.where("size = 0").select("lang", "n")
-    return best.join(totals, "lang").select("lang", "rank", F.col("phrase").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
+    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

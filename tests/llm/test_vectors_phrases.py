@@ -219,7 +219,7 @@ def phrase_rows():
     ]
 
 
-@pytest.mark.parametrize("limits", [{}, {"burst": 4, "entries": 30, "words": 5, "spread": 2}, {"top": 7, "filter_bits": 15}])
+@pytest.mark.parametrize("limits", [{}, {"burst": 4, "entries": 30, "words": 5, "spread": 2, "hashes": 50}, {"top": 7, "filter_bits": 15}])
 def test_phrases_match_brute_force(spark, limits):
     rows = phrase_rows()
     p = phrases.PhraseParams(**limits)
@@ -275,8 +275,8 @@ def test_trie_splits_and_spills():
 def test_scores_beyond_64_bits(spark):
     a = 4_000_000_000_000
     found = spark.createDataFrame(
-        [("en", b"x", b"", b"", a, 1), ("en", b"y", b"", b"", 3 * a + 1, 1), ("en", b"x", b"y", b"", a - 1, 2), ("en", None, None, None, 9 * a, 0)],
-        "lang string, w1 binary, w2 binary, w3 binary, n long, size int",
+        [("en", "x", "", "", a, 1), ("en", "y", "", "", 3 * a + 1, 1), ("en", "x", "y", "", a - 1, 2), ("en", None, None, None, 9 * a, 0)],
+        "lang string, w1 string, w2 string, w3 string, n long, size int",
     )
     (r,) = phrases.candidates(found, phrases.PhraseParams()).collect()
     assert r["score"] == 1_000_000 * (a - 1) ** 2 // (a * (3 * a + 1))
