@@ -9,12 +9,16 @@ interval of the suffix array whose longest common prefix is d or more.  An
 interval of one suffix is finished and leaves the work, so after the first
 depth only repeated lines are left.
 
-A block of d lines is a later copy if its suffix is not the first of its
-interval.  Blocks of 2^t lines and at least ``min_chars`` characters are
-deleted, so the first copy of a run stays and later ones go.  ``min_chars`` is
-asked of each block, not of the maximal run: a longer run whose blocks are all
-shorter stays, and so can a short tail of a run.  Copies may overlap what they
-repeat.
+Every maximal run of lines that repeats an earlier run and has ``min_chars``
+characters is deleted whole: the first copy of a run stays and later ones go.
+A run of any length is the union of its shortest sub-runs with ``min_chars``
+that begin or end at one of its lines, for each of its lines has ``min_chars``
+characters after it, or before it, or lies in the shortest sub-run that ends
+with the run.  A sub-run has at most ``min_chars`` lines, and two overlapping
+names of its largest depth 2^t name it, so depths end there.  Names
+that no such sub-run can hold, because they have ``min_chars`` without their
+first and without their last line, leave the work too.  Copies may overlap what
+they repeat.
 
 Edge cases: a null text stays null; an empty line is never deleted.  Rows of
 equal id and text are one document and get one result; null ids come last.
@@ -26,12 +30,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rastertable.llm.text import cut, doc_key, map_arrow
+from rastertable.llm.text import cut, doc_key, map_arrow, raw_text
 
 WHITE = " \t\x0b\x0c\r"
 
@@ -41,17 +47,44 @@ class LineParams:
     min_chars: int = 40
 
 
-def _line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, dk, line, raw, name, chars): non-empty lines, numbered with and without empty ones."""
-    lines = F.filter(
-        F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(i.alias("raw"), F.trim(t, F.lit(WHITE)).alias("t"))),
-        lambda x: F.length(x["t"]) > 0,
-    )
-    return (
-        docs.where(F.col("text").isNotNull())
-        .select("doc_id", doc_key().alias("dk"), F.posexplode(lines).alias("line", "l"))
-        .select("doc_id", "dk", "line", "l.raw", F.xxhash64("l.t", F.lit(3)).alias("name"), F.length("l.t").cast("long").alias("chars"))
-    )
+def shortest_runs(chars: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each line, the lines of the shortest run with ``least`` characters that begins, and that ends there; 0 for none."""
+    end = np.cumsum(chars)
+    start = end - chars
+    at = np.arange(len(chars))
+    begins = np.searchsorted(start, start + least - 1, "right") - at
+    ends = at + 1 - np.searchsorted(end, end - least + 1, "left")
+    total = end[-1] if len(end) else 0
+    return np.where(total - start >= least, begins, 0), np.where(end >= least, ends, 0)
+
+
+def _line_table(docs: DataFrame, p: LineParams) -> DataFrame:
+    """(doc_id, dk, line, raw, name, chars, begins, ends): non-empty lines, numbered with and without empty ones."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for doc_id, dk, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                lines = [(raw, t.strip(WHITE)) for raw, t in enumerate(text.decode().split("\n"))]
+                lines = [(raw, t) for raw, t in lines if t]
+                chars = np.array([len(t) for _, t in lines], np.int64)
+                names = np.array([xxhash.xxh3_64_intdigest(t.encode()) for _, t in lines], np.uint64).view(np.int64)
+                n = len(lines)
+                out.append(([doc_id] * n, [dk] * n, np.arange(n), [raw for raw, _ in lines], names, chars, *shortest_runs(chars, p.min_chars)))
+                if sum(len(x[0]) for x in out) > 20_000:
+                    yield _line_batch(out)
+                    out = []
+            yield _line_batch(out)
+
+    texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), doc_key().alias("dk"), raw_text().alias("text"))
+    return map_arrow(texts, run, "doc_id long, dk long, line int, raw int, name long, chars int, begins int, ends int")
+
+
+def _line_batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["doc_id", "dk", "line", "raw", "name", "chars", "begins", "ends"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    cols = list(zip(*rows)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array([x for part in c for x in part], k) for c, k in zip(cols, kinds)], names=names)
 
 
 def _intervals(suffixes: DataFrame) -> DataFrame:
@@ -67,25 +100,42 @@ def _intervals(suffixes: DataFrame) -> DataFrame:
 def later_lines(docs: DataFrame, params: LineParams | None = None) -> DataFrame:
     """(dk, lines): the lines to delete of each document, as (line, raw) numbers."""
     p = params or LineParams()
-    lines = cut(_line_table(docs.select("doc_id", "text")).distinct())
+    lines = cut(_line_table(docs.select("doc_id", "text"), p).distinct())
     # Most lines occur once; they go before the intervals are formed.
     again = lines.groupBy("name").count().where("count > 1").select("name")
-    depth, level = 1, cut(_intervals(lines.join(again, "name")))
+    level = cut(_intervals(lines.join(again, "name")))
     repeated = level.select("dk", "line", "raw")
-    blocks = level.where(F.col("later") & (F.col("chars") >= p.min_chars)).select("dk", "line", F.lit(1).alias("size"))
-    while not level.isEmpty() and depth < p.min_chars:
-        ahead = level.select("dk", (F.col("line") - depth).alias("line"), F.col("name").alias("name2"), F.col("chars").alias("chars2"))
-        wider = level.drop("later", "raw").join(ahead, ["dk", "line"]).withColumn("name", F.xxhash64("name", "name2"))
-        # Where both halves are long enough, their own blocks delete these lines already.
-        wider = wider.withColumn("new", F.least("chars", "chars2") < p.min_chars).withColumn("chars", F.col("chars") + F.col("chars2"))
-        depth, level = 2 * depth, cut(_intervals(wider.drop("name2", "chars2")))
-        found = level.where(F.col("later") & F.col("new") & (F.col("chars") >= p.min_chars))
-        blocks = blocks.union(found.select("dk", "line", F.lit(depth)))
-        level = level.drop("new").withColumn("raw", F.lit(None))
-    covered = blocks.select("dk", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("size") - 1)).alias("line")).distinct()
+    found = level.where(F.col("later") & (F.col("begins") == 1)).select("dk", "line", F.lit(1).alias("size"))
+    # The shortest runs of several lines, by where they begin.
+    begin = level.where("begins > 1").select("doc_id", "dk", "line", F.col("begins").alias("size"))
+    end = level.where("ends > 1").select("doc_id", "dk", (F.col("line") - F.col("ends") + 1).alias("line"), F.col("ends").alias("size"))
+    runs = cut(begin.union(end).distinct())
+    level = level.select("doc_id", "dk", "line", "name", F.col("chars").alias("head"), F.col("chars").alias("tail"), "chars")
+    depth = 1
+    while depth < p.min_chars and not level.isEmpty():
+        # Blocks of 2^t lines to 2^(t+1) - 1, named by the names at their first and last 2^t lines.
+        if depth > 1:
+            found = found.union(_later_runs(runs.where((F.col("size") >= depth) & (F.col("size") < 2 * depth)), level, depth))
+        ahead = level.select("dk", (F.col("line") - depth).alias("line"), F.col("name").alias("name2"), F.col("chars").alias("chars2"), F.col("tail").alias("tail2"))
+        wider = level.join(ahead, ["dk", "line"]).select(
+            "doc_id", "dk", "line", F.xxhash64("name", "name2").alias("name"), "head", F.col("tail2").alias("tail"), (F.col("chars") + F.col("chars2")).alias("chars")
+        )
+        useful = F.col("chars") - F.greatest("head", "tail") < p.min_chars
+        depth, level = 2 * depth, cut(_intervals(wider.where(useful)).drop("later"))
+    if depth > 1:
+        found = found.union(_later_runs(runs.where(F.col("size") >= depth), level, depth))
+    covered = found.select("dk", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("size") - 1)).alias("line")).distinct()
     return repeated.join(covered, ["dk", "line"]).groupBy("dk").agg(F.collect_list(F.struct("line", "raw")).alias("lines"))
 
 
+def _later_runs(runs: DataFrame, level: DataFrame, depth: int) -> DataFrame:
+    """(dk, line, size) of the runs of ``depth`` lines or more that occur earlier."""
+    first = level.select("dk", "line", F.col("name").alias("a"))
+    last = level.select("dk", F.col("line").alias("at"), F.col("name").alias("b"))
+    named = runs.join(first, ["dk", "line"]).withColumn("at", F.col("line") + F.col("size") - depth).join(last, ["dk", "at"])
+    return _intervals(named.withColumn("name", F.xxhash64("size", "a", "b"))).where("later").select("dk", "line", "size")
+
+
 def _rows(docs: DataFrame, p: LineParams | None) -> DataFrame:
     """(row, text, n_lines, n_deleted, n_runs): every row with its cleaned text."""
     keyed = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"), doc_key().alias("dk"))

@@ -128,7 +128,8 @@ NEAR_DUPLICATES_SQL = near_duplicates_sql()
 
 
 def lines_sql(min_chars: int = 40) -> str:
-    sizes = [2**t for t in range(10) if t == 0 or 2 ** (t - 1) < min_chars]
+    # Every run with the characters is covered by such runs of at most as many lines.
+    sizes = list(range(1, min_chars + 1))
     return f"""
 WITH raw AS (
   SELECT doc_id, text IS NULL AS missing, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
@@ -143,8 +144,8 @@ blk AS (
   )
 ),
 cop AS (
-  SELECT doc_id, i, d FROM blk
-  QUALIFY row_number() OVER (PARTITION BY d, b ORDER BY doc_id, i) > 1 AND length(array_to_string(b, '')) >= {min_chars}
+  SELECT doc_id, i, d FROM blk WHERE length(array_to_string(b, '')) >= {min_chars}
+  QUALIFY row_number() OVER (PARTITION BY d, b ORDER BY doc_id, i) > 1
 ),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + d)) AS line FROM cop),
 runs AS (

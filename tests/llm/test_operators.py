@@ -124,6 +124,35 @@ def test_lines_against_plain_python(spark):
     assert got == plain_line_dedup(texts)
 
 
+def test_runs_of_any_length(spark):
+    """Runs that no block of 1, 2, 4, ... lines finds, short tails, and texts of short lines only."""
+    nine, five = ["nine cha%d" % k for k in range(7)], ["tail%d" % k for k in range(4)]
+    long = "a line of more than forty characters, all of it said before"
+    texts = {
+        1: "\n".join(["fifteen letters", "another fifteen", "and one fifteen", "x"]),
+        2: "\n".join(["y", "fifteen letters", "another fifteen", "and one fifteen"]),  # 3 lines of 15
+        3: "\n".join(["p", *nine, "q"]),
+        4: "\n".join(["r", *nine, "s"]),  # 7 lines of 9
+        5: "\n".join([long, *five, "t"]),
+        6: "\n".join(["u", long, *five, "v"]),  # a long line and a short tail
+        7: "\n".join([*five, long, "w"]),
+        8: "\n".join([*five, long, "z"]),  # a short head
+        9: "\n".join("abc"[k % 3] for k in range(300)),  # overlaps itself
+        10: "\n".join(["fifteen letters", "another fifteen", "z"]),  # 30 characters stay
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df).collect()}
+    assert got == plain_line_dedup(texts)
+    assert got[2] == "y" and got[4] == "r\ns" and got[6] == "u\nv" and got[8] == "z" and got[10] == texts[10]
+    rnd = random.Random(9)
+    pool = ["w%d" % k + "." * rnd.choice((0, 3, 9, 17, 45)) for k in range(9)]
+    texts = {k: "\n".join(rnd.choice(pool[: 2 + k % 7]) for _ in range(rnd.randrange(60))) for k in range(50)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    for least in (1, 13, 40):
+        got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df, lines.LineParams(least)).collect()}
+        assert got == plain_line_dedup(texts, least)
+
+
 BENCH = [
     (1, "Tom has 3 red apples and gives Tom 3 green pears while walking down the long road to school"),
     (2, "the train leaves the station at 5 km per hour and stops after 20 minutes near the old bridge"),

@@ -148,7 +148,7 @@ def test_pipeline_against_plain_python(spark, duck, docs, reference_encoding):
     kept = {r[0] for r in duck.sql(f"SELECT doc_id FROM ({SQL['op2_quality_rules']}) WHERE kept").fetchall()}
     texts = {d["doc_id"]: d["text"] for d in docs.collect() if d["doc_id"] in kept}
     texts = plain_line_dedup(texts)
-    texts = plain_near_dedup(texts)
+    texts = plain_near_dedup(texts, percent=80)
     items = [r["text"] for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
     texts = {i: t for i, t in texts.items() if not any(canonical_hit(t, x) for x in items)}
     got = by_id(corpus_pipeline.run(spark, DIR))
@@ -158,9 +158,10 @@ def test_pipeline_against_plain_python(spark, duck, docs, reference_encoding):
 
 
 def plain_line_dedup(texts, min_chars=40):
+    """Runs of every length, each compared with all earlier ones."""
     seqs = {i: [(k, t.strip(" \t\x0b\x0c\r")) for k, t in enumerate(texts[i].split("\n")) if t.strip(" \t\x0b\x0c\r")] for i in sorted(texts)}
     gone, d = {i: set() for i in texts}, 1
-    while d < 2 * min_chars:
+    while any(len(seq) >= d for seq in seqs.values()):
         seen = set()
         for i, seq in seqs.items():
             for s in range(len(seq) - d + 1):
@@ -168,7 +169,7 @@ def plain_line_dedup(texts, min_chars=40):
                 if block in seen and sum(map(len, block)) >= min_chars:
                     gone[i].update(k for k, _ in seq[s : s + d])
                 seen.add(block)
-        d *= 2
+        d += 1
     return {i: "\n".join(t for k, t in enumerate(texts[i].split("\n")) if k not in gone[i]) for i in texts}
 
 
