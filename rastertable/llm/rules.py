@@ -7,9 +7,9 @@ Jensen-Shannon distance (base 2, so 0..1).  Each comparison has a minimum
 length below which a histogram says nothing and the rule does not fire.
 
 Edge cases: a null text is an empty one; it has no words and fails the base
-rules.  A null language is a language of its own.  At most ``max_languages``
-languages, those with the most words, get a reference; the others are compared
-with the reference of all documents.  Equal rows get equal results; ties among
+rules.  A null language is a language of its own.  References of the
+``max_languages`` languages with the most words go to all tasks; documents of
+other languages meet theirs by a join on the language.  Equal rows get equal results; ties among
 common words are broken by the word.  Only doc_id, text and lang are read, so
 extra columns cannot clash.  An empty table gives an empty result.
 """
@@ -94,11 +94,31 @@ def _count(batches):
     yield from flush()
 
 
-def references(docs: DataFrame, p: RuleParams) -> dict[str | None, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """Per language: class histogram, common words with their bins, word histogram.
+#: Class histogram, common words with their bins, word histogram.
+Reference = tuple[np.ndarray, dict[bytes, int], np.ndarray]
+NO_REFERENCE: Reference = (np.zeros(N_CLASSES), {}, np.zeros(1))
 
-    The key None holds the reference of all documents.  The size is bounded by
-    ``max_languages`` x ``common_words``.
+
+def _reference(rows) -> Reference:
+    """The reference that a language's ranked counts (kind, rank, key, n) describe."""
+    classes = np.zeros(N_CLASSES)
+    common, total = [], 0
+    for r in sorted(rows, key=lambda r: (r["kind"], r["rank"])):
+        if r["kind"] == 0:
+            classes[int(r["key"])] = r["n"]
+        elif r["kind"] == 1:
+            common.append((bytes(r["key"]), r["n"]))
+        else:
+            total += r["n"]
+    hist = np.array([n for _, n in common] + [total - sum(n for _, n in common)], float)
+    return classes / max(classes.sum(), 1), {w: k for k, (w, _) in enumerate(common)}, hist / max(hist.sum(), 1)
+
+
+def references(docs: DataFrame, p: RuleParams) -> tuple[dict[str, Reference], DataFrame | None]:
+    """References of the languages with most words, and (lang, ref) rows of the others, if there are any.
+
+    The first are at most ``max_languages`` x ``common_words`` words; a row of
+    the second holds at most ``common_words``.
     """
     counts = (
         map_arrow(
@@ -109,46 +129,78 @@ def references(docs: DataFrame, p: RuleParams) -> dict[str | None, tuple[np.ndar
         .groupBy("lang", "kind", "key")
         .agg(F.sum("n").alias("n"))
     )
-    # Both the languages' own rows and those of all documents together are read
-    # below, so the counts are kept once in the shared folder.
+    # Read several times below, so the counts are kept once in the shared folder.
     counts = cut(counts)
-    totals = (
-        counts.where("kind = 2").orderBy(F.desc("n"), "lang").limit(p.max_languages).collect()
-    )
-    langs = [r["lang"] for r in totals]
-    if not langs:
-        return {}
-    pooled = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).withColumn("own", F.lit(False)).withColumn("lang", F.lit(""))
-    both = counts.where(F.col("lang").isin(langs)).withColumn("own", F.lit(True)).unionByName(pooled)
+    totals = counts.where("kind = 2").orderBy(F.desc("n"), "lang").limit(p.max_languages + 1).collect()
+    langs = [r["lang"] for r in totals[: p.max_languages]]
     # Two ranks: the first over a share of a language's words, the second over the winners.
     order = [F.desc("n"), "key"]
     share = F.pmod(F.xxhash64("key"), F.lit(64))
-    top = (
-        both.where("kind = 1")
-        .withColumn("rank", F.row_number().over(Window.partitionBy("own", "lang", share).orderBy(*order)))
+    ranked = (
+        counts.where("kind = 1")
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order)))
         .where(F.col("rank") <= p.common_words)
-        .withColumn("rank", F.row_number().over(Window.partitionBy("own", "lang").orderBy(*order)))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("rank") <= p.common_words)
-        .unionByName(both.where("kind <> 1").withColumn("rank", F.lit(0)))
-        .orderBy("own", "lang", "kind", "rank")
-        .collect()
+        .unionByName(counts.where("kind <> 1").withColumn("rank", F.lit(0)))
     )
-    out = {}
-    for own, lang in dict.fromkeys((r["own"], r["lang"]) for r in top):
-        rows = [r for r in top if (r["own"], r["lang"]) == (own, lang)]
-        classes = np.zeros(N_CLASSES)
-        for r in rows:
-            if r["kind"] == 0:
-                classes[int(r["key"])] = r["n"]
-        common = [(bytes(r["key"]), r["n"]) for r in rows if r["kind"] == 1]
-        total = sum(r["n"] for r in rows if r["kind"] == 2)
-        hist = np.array([n for _, n in common] + [total - sum(n for _, n in common)], float)
-        out[lang if own else None] = (
-            classes / max(classes.sum(), 1),
-            {w: k for k, (w, _) in enumerate(common)},
-            hist / max(hist.sum(), 1),
-        )
-    return out
+    of_lang: dict[str, list] = {}
+    for r in ranked.where(F.col("lang").isin(langs)).collect() if langs else []:
+        of_lang.setdefault(r["lang"], []).append(r)
+    frequent = {lang: _reference(rows) for lang, rows in of_lang.items()}
+    if len(totals) <= p.max_languages:
+        return frequent, None
+    others = ranked.where(~F.col("lang").isin(langs)).groupBy("lang")
+    return frequent, others.agg(F.collect_list(F.struct("kind", "rank", "key", "n")).alias("ref"))
+
+
+class _References:
+    """The reference of each document of a task."""
+
+    LIMIT = 256
+
+    def __init__(self, frequent: dict[str, Reference]):
+        self.frequent, self.met = frequent, {}
+
+    def of(self, lang: str, rows: list | None = None) -> Reference:
+        if lang in self.frequent or rows is None:
+            return self.frequent.get(lang, NO_REFERENCE)
+        if lang not in self.met:
+            if len(self.met) >= self.LIMIT:
+                self.met.clear()
+            self.met[lang] = _reference(rows)
+        return self.met[lang]
+
+
+def _with_references(docs: DataFrame, p: RuleParams, fn, schema) -> DataFrame:
+    """``fn(batch, reference of a row)`` over all documents; where needed the batch ends with the column of references."""
+    frequent, others = references(docs, p)
+    lang = F.coalesce("lang", F.lit(""))
+
+    def near(batches):
+        found = _References(frequent)
+        for batch in batches:
+            langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
+            yield fn(batch, [found.of(x or "") for x in langs])
+
+    if others is None:
+        return map_arrow(docs, near, schema)
+    # Only documents of languages that are rare by words are shuffled, so no language is hot.
+    name = "ref_"
+    while name in docs.columns:
+        name += "_"
+    known = lang.isin(list(frequent))
+    rare = others.select(F.col("lang").alias(name), F.col("ref").alias(name + "_"))
+    far_docs = docs.where(~known).join(rare, lang == F.col(name), "left").drop(name)
+
+    def far(batches):
+        found = _References({})
+        for batch in batches:
+            langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
+            refs = [found.of(x or "", rows or []) for x, rows in zip(langs, batch.column(batch.num_columns - 1).to_pylist())]
+            yield fn(batch.select(batch.schema.names[:-1]), refs)
+
+    return map_arrow(docs.where(known), near, schema).union(map_arrow(far_docs, far, schema))
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -188,7 +240,7 @@ SCHEMA = (
 )
 
 
-def _rate(text: bytes | None, lang: str, ref: dict, p: RuleParams) -> tuple:
+def _rate(text: bytes | None, ref: Reference, p: RuleParams) -> tuple:
     """The result columns of one document but its id."""
     text = text or b""
     words = text.split()
@@ -196,7 +248,7 @@ def _rate(text: bytes | None, lang: str, ref: dict, p: RuleParams) -> tuple:
     classes = _classes(text)
     n_chars, n_repeat = int(classes.sum()), _repeat_words(words)
     failed = n < 50 or 100 * n_repeat > 50 * n
-    ref_classes, common, ref_words = ref.get(lang, ref.get(None)) or (np.zeros(N_CLASSES), {}, np.zeros(1))
+    ref_classes, common, ref_words = ref
     d_class = d_word = 0.0
     if n_chars >= p.min_chars:
         d_class = js_distance(classes / n_chars, ref_classes)
@@ -224,35 +276,24 @@ KEPT = 6
 def quality_rules(docs: DataFrame, params: RuleParams | None = None) -> DataFrame:
     """One row per document: base counts, both distances and the verdict."""
     p = params or RuleParams()
-    ref = references(docs, p)
 
-    def rate(batches):
-        for batch in batches:
-            ids, texts, langs = (batch.column(k) for k in range(3))
-            rows = [_rate(*x, ref, p) for x in zip(texts.to_pylist(), langs.to_pylist())]
-            cols = list(zip(*rows)) if rows else [()] * 9
-            kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
-            arrays = [ids, *(pa.array(c, t) for c, t in zip(cols, kinds))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    return map_arrow(
-        docs.select(F.col("doc_id").cast("long"), raw_text().alias("text"), F.coalesce("lang", F.lit("")).alias("lang")),
-        rate,
-        SCHEMA,
-    )
+    def rate(batch, refs):
+        rows = [_rate(text, ref, p) for text, ref in zip(batch.column(1).to_pylist(), refs)]
+        cols = list(zip(*rows)) if rows else [()] * 9
+        kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
+        arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds))]
+        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
+
+    return _with_references(docs.select(F.col("doc_id").cast("long"), raw_text().alias("text"), "lang"), p, rate, SCHEMA)
 
 
 def keep_good(docs: DataFrame, params: RuleParams | None = None) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
     p = params or RuleParams()
-    ref = references(docs, p)
-    text_at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
+    text_at = docs.columns.index("text")
 
-    def keep(batches):
-        for batch in batches:
-            texts = batch.column(text_at).cast(pa.binary()).to_pylist()
-            langs = batch.column(lang_at).to_pylist()
-            good = [_rate(t, g or "", ref, p)[KEPT] for t, g in zip(texts, langs)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+    def keep(batch, refs):
+        texts = batch.column(text_at).cast(pa.binary()).to_pylist()
+        return batch.filter(pa.array([_rate(t, ref, p)[KEPT] for t, ref in zip(texts, refs)], pa.bool_()))
 
-    return map_arrow(docs, keep, docs.schema)
+    return _with_references(docs, p, keep, docs.schema)

@@ -39,6 +39,20 @@ def test_rules_edges(edges, empty):
     assert kept.columns == edges.columns
 
 
+def test_rules_of_many_languages(spark, docs):
+    """However few references go to all tasks, every document is compared with its own language."""
+    # Dirty language values: many small ones beside the four.
+    lang = F.when(F.col("doc_id") % 3 == 0, F.concat("lang", F.lit("-"), F.col("doc_id") % 40)).otherwise(F.col("lang"))
+    df = docs.withColumn("lang", lang).withColumn("ref_", F.lit("clash"))
+    want = sorted(map(tuple, rules.quality_rules(df, rules.RuleParams(max_languages=1000)).collect()), key=repr)
+    for most in (1, 5):
+        p = rules.RuleParams(max_languages=most)
+        assert sorted(map(tuple, rules.quality_rules(df, p).collect()), key=repr) == want
+        kept = rules.keep_good(df, p)
+        assert kept.columns == df.columns
+        assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == [w[0] for w in sorted(want) if w[7]]
+
+
 def test_near_duplicate_edges(edges, empty):
     rows = neardup.near_duplicates(edges).collect()
     assert len(rows) == N and neardup.near_duplicates(empty).count() == 0
