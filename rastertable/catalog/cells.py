@@ -193,15 +193,21 @@ def zscore_trunc(spark, sf):
     )
 
 
+_ALL = [f"b{k}" for k in range(11)]
+
+
 @query(
     "zscore_tiles",
-    f"""WITH {X.SC}, {stats_sql('sc', 'scene', 'b4')}
-    SELECT sc.scene, k, CAST(CASE WHEN sd = 0 THEN 0 ELSE trunc((b4 - mean) / sd) END AS INTEGER) AS z_b4
+    f"""WITH {X.SC}, st AS (SELECT scene, {", ".join(f"CAST(count({b}) AS DOUBLE) AS n_{b}, CAST(sum({b}) AS DOUBLE) AS s_{b}, CAST(sum({b} * {b}) AS DOUBLE) AS ss_{b}" for b in _ALL)}
+      FROM sc GROUP BY scene),
+    sd AS (SELECT scene, {", ".join(f"s_{b} / n_{b} AS mean_{b}, sqrt(greatest(n_{b} * ss_{b} - s_{b} * s_{b}, 0)) / n_{b} AS sd_{b}" for b in _ALL)} FROM st)
+    SELECT sc.scene, k, {", ".join(f"CAST(CASE WHEN sd_{b} = 0 THEN 0 ELSE trunc(({b} - mean_{b}) / sd_{b}) END AS INTEGER) AS z_{b}" for b in _ALL)}
     FROM sc JOIN sd ON sc.scene = sd.scene""",
 )
 def zscore_tiles(spark, sf):
-    df = algebra.add_zscore(scene_tiles(spark, sf), ["b4"])
-    return exploded(df.select("scene", "z_b4"), "z_b4")
+    """All bands of every scene, each by its own statistics."""
+    out = [f"z_{b}" for b in _ALL]
+    return exploded(algebra.add_zscore(scene_tiles(spark, sf), _ALL).select("scene", *out), *out)
 
 
 # ------------------------------------------------------------------ display values

@@ -150,10 +150,11 @@ _PRODUCTS = f"""{_AUGMENTED}, full_size AS (SELECT window_id, (x1 - x0 + 1) * (y
              coalesce(sum(CASE WHEN b0 + b3 = 0 THEN NULL ELSE floor(CAST(b3 - b0 AS DOUBLE) / CAST(b3 + b0 AS DOUBLE) * 1000000) END), 0) AS nd,
              count(CASE WHEN b0 + b3 = 0 THEN NULL ELSE b0 END) AS nn,
              count(CASE WHEN b1 + b2 + b3 = 0 THEN 1 END) AS zero,
-             CAST(sum(b0) AS DOUBLE) AS s, CAST(sum(b0 * b0) AS DOUBLE) AS ss
+             {", ".join(f"CAST(sum({b}) AS DOUBLE) AS s_{b}, CAST(sum({b} * {b}) AS DOUBLE) AS ss_{b}" for b in BANDS)}
            FROM full_size h LEFT JOIN ar ON h.window_id = ar.window_id GROUP BY h.window_id, cells),
-    sd AS (SELECT window_id, s / n AS mean, sqrt(greatest(n * ss - s * s, 0)) / n AS sd FROM ag WHERE n > 0),
-    z AS (SELECT ar.window_id, count(*) AS n, sum(CASE WHEN sd = 0 THEN 0 ELSE trunc((b0 - mean) / sd) END) AS total
+    sd AS (SELECT window_id, {", ".join(f"s_{b} / n AS mean_{b}, sqrt(greatest(n * ss_{b} - s_{b} * s_{b}, 0)) / n AS sd_{b}" for b in BANDS)} FROM ag WHERE n > 0),
+    z AS (SELECT ar.window_id, count(*) AS n,
+            sum({" + ".join(f"{k} * CASE WHEN sd_{b} = 0 THEN 0 ELSE trunc(({b} - mean_{b}) / sd_{b}) END" for k, b in enumerate(BANDS, 1))}) AS total
           FROM ar JOIN sd ON ar.window_id = sd.window_id GROUP BY ar.window_id)
     SELECT window_id, 'image' AS product, n, CAST(total AS BIGINT) AS checksum FROM ag
     UNION ALL SELECT window_id, 'ndvi', nn, CAST(nd AS BIGINT) FROM ag
@@ -177,14 +178,15 @@ def _products(chips):
                  sum((total(F.col(b)) for b in BANDS[1:]), total(F.col("b0"))).alias("checksum")),
         F.struct(F.lit("ndvi").alias("product"), count(F.col("ndvi")).alias("n"), total(micro).alias("checksum")),
         F.struct(F.lit("mask").alias("product"), count(F.col("mask")).alias("n"), total(F.col("mask")).alias("checksum")),
-        F.struct(F.lit("image_z").alias("product"), count(F.col("z_b0")).alias("n"), total(F.col("z_b0")).alias("checksum")),
+        F.struct(F.lit("image_z").alias("product"), count(F.col("z_b0")).alias("n"),
+                 sum((total(F.col(f"z_{b}")) * k for k, b in enumerate(BANDS[1:], 2)), total(F.col("z_b0"))).alias("checksum")),
     )
     return chips.select("window_id", F.inline(rows))
 
 
 @query("generate_samples", _PRODUCTS)
 def generate_samples(spark, sf):
-    """All four products of augmented chips; z-score checked on band 0."""
+    """All four products of augmented chips; bands of the z-score weighted by their number."""
     return _products(
         chips_from_windows(_window_columns(spark, sf), X.lp_tiles(spark, sf), X.TILE, X.lcg_uniform, size=16)
     )

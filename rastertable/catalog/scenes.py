@@ -324,48 +324,50 @@ def _placed(spark, sf):
     return placed, grid, frame
 
 
+_ALL = [f"b{k}" for k in range(11)]
+_LIST = ", ".join(_ALL)
 _CELLS = f"""{_META.replace("WITH ", "WITH " + X.SC.strip() + ", ", 1)},
-    g AS (SELECT scene, 2 + scene % 6 AS i, 7 + scene // 6 AS j, x, y, b0, b4, b10 FROM sc),
+    g AS (SELECT scene, 2 + scene % 6 AS i, 7 + scene // 6 AS j, x, y, {_LIST} FROM sc),
     p AS (SELECT i, j, (j - 7) * 8 + x AS gx,
-          CAST(round((d.ymax - round(5808000.06 - 4 * i, 1)) / 0.5) AS INTEGER) + y AS gy, b0, b4, b10 FROM g, d)"""
+          CAST(round((d.ymax - round(5808000.06 - 4 * i, 1)) / 0.5) AS INTEGER) + y AS gy, {_LIST} FROM g, d)"""
 
 
 @query(
     "tile_to_layout",
     f"""{_CELLS} SELECT CAST(gx // 6 AS INTEGER) AS col, CAST(gy // 6 AS INTEGER) AS row, count(*) AS n,
-    CAST(sum(b0 * (gy % 6 * 6 + gx % 6)) AS BIGINT) AS c0, CAST(sum(b4 * (gy % 6 * 6 + gx % 6)) AS BIGINT) AS c4,
-    CAST(sum(b10 * (gy % 6 * 6 + gx % 6)) AS BIGINT) AS c10 FROM p GROUP BY 1, 2""",
+    {", ".join(f"CAST(sum({b} * (gy % 6 * 6 + gx % 6)) AS BIGINT) AS c{b[1:]}" for b in _ALL)} FROM p GROUP BY 1, 2""",
 )
 def tile_to_layout(spark, sf):
     """Scenes of 8 x 8 cells cut to tiles of 6 x 6, across scene borders."""
     placed, grid, frame = _placed(spark, sf)
     tiles = layout.tile_to_layout(placed, grid, "ord", footprint=frame)
-    flat = exploded(tiles.select("col", "row", "b0", "b4", "b10"), "b0", "b4", "b10").where("b0 IS NOT NULL")
+    flat = exploded(tiles.select("col", "row", *_ALL), *_ALL).where("b0 IS NOT NULL")
     return flat.groupBy("col", "row").agg(
         F.count("*").alias("n"),
-        *[F.sum(F.col(b).cast("bigint") * F.col("k")).alias(f"c{b[1:]}") for b in ("b0", "b4", "b10")],
+        *[F.sum(F.col(b).cast("bigint") * F.col("k")).alias(f"c{b[1:]}") for b in _ALL],
     )
 
 
 @query(
     "merge_overlap",
-    f"""{_CELLS}, o AS (SELECT i, j, 0 AS s, gx, gy, b0 FROM p UNION ALL SELECT i, j, 1, gx + 3, gy + 2, b0 FROM p),
-    q AS (SELECT gx, gy, CASE WHEN b0 % 5 = 0 THEN NULL ELSE b0 END AS v, s * 1000000 + i * 1000 + j AS ord FROM o),
-    r AS (SELECT gx, gy, arg_min(v, ord) FILTER (WHERE v IS NOT NULL) AS v FROM q GROUP BY gx, gy)
-    SELECT CAST(gx // 6 AS INTEGER) AS col, CAST(gy // 6 AS INTEGER) AS row, count(v) AS n,
-    CAST(sum(v * (gy % 6 * 6 + gx % 6)) AS BIGINT) AS c0 FROM r GROUP BY 1, 2""",
+    f"""{_CELLS}, o AS (SELECT i, j, 0 AS s, gx, gy, {_LIST} FROM p UNION ALL SELECT i, j, 1, gx + 3, gy + 2, {_LIST} FROM p),
+    q AS (SELECT gx, gy, {", ".join(f"CASE WHEN {b} % 5 = 0 THEN NULL ELSE {b} END AS {b}" for b in _ALL)}, s * 1000000 + i * 1000 + j AS ord FROM o),
+    r AS (SELECT gx, gy, {", ".join(f"arg_min({b}, ord) FILTER (WHERE {b} IS NOT NULL) AS {b}" for b in _ALL)} FROM q GROUP BY gx, gy)
+    SELECT CAST(gx // 6 AS INTEGER) AS col, CAST(gy // 6 AS INTEGER) AS row,
+    {", ".join(f"count({b}) AS n{b[1:]}, CAST(sum({b} * (gy % 6 * 6 + gx % 6)) AS BIGINT) AS c{b[1:]}" for b in _ALL)} FROM r GROUP BY 1, 2""",
 )
 def merge_overlap(spark, sf):
-    """Every scene twice, the copy moved by (3, 2): first data cell wins."""
+    """Every scene twice, the copy moved by (3, 2): in each band the first data cell wins."""
     placed, grid, _ = _placed(spark, sf)
     holes = placed.select(
         "i", "j", "x0", "y0", "cols", "rows",
-        F.transform("b0", lambda v: F.when(v % 5 != 0, v)).alias("b0"),
+        *[F.transform(b, lambda v: F.when(v % 5 != 0, v)).alias(b) for b in _ALL],
     )
     moved = holes.withColumns({"x0": F.col("x0") + 3, "y0": F.col("y0") + 2})
     both = holes.withColumn("s", F.lit(0)).unionByName(moved.withColumn("s", F.lit(1)))
     tiles = layout.tile_to_layout(both.withColumn("ord", F.struct("s", "i", "j")), grid, "ord")
-    flat = exploded(tiles.select("col", "row", "b0"), "b0")
+    flat = exploded(tiles.select("col", "row", *_ALL), *_ALL)
     return flat.groupBy("col", "row").agg(
-        F.count("b0").alias("n"), F.sum(F.col("b0").cast("bigint") * F.col("k")).alias("c0")
+        *[F.count(b).alias(f"n{b[1:]}") for b in _ALL],
+        *[F.sum(F.col(b).cast("bigint") * F.col("k")).alias(f"c{b[1:]}") for b in _ALL],
     )

@@ -120,58 +120,57 @@ def polygon_tile_join(spark, sf):
     return join_tiles(keys, tiles, "poly_id").select("poly_id", "col", "row")
 
 
+_ALL = [f"b{k}" for k in range(4)]
+_LIST = ", ".join(_ALL)
+
+
 @query(
     "polygon_zones",
     f"""WITH {X.POLYGONS}, {X.LP}, e AS ({_ENV}),
-    c AS (SELECT poly_id, b0, b3, x, y, ({X.OX} + (x + 0.5) * {X.CELL})::DOUBLE AS ccx, ({X.OY} - (y + 0.5) * {X.CELL})::DOUBLE AS ccy
+    c AS (SELECT poly_id, {_LIST}, x, y, ({X.OX} + (x + 0.5) * {X.CELL})::DOUBLE AS ccx, ({X.OY} - (y + 0.5) * {X.CELL})::DOUBLE AS ccy
           FROM e JOIN lp ON ({X.OX} + (x + 0.5) * {X.CELL}) BETWEEN xmin AND xmax AND ({X.OY} - (y + 0.5) * {X.CELL}) BETWEEN ymin AND ymax),
-    i AS (SELECT c.poly_id, x, y, b0, b3 FROM c JOIN pe ON c.poly_id = pe.poly_id GROUP BY c.poly_id, x, y, b0, b3
+    i AS (SELECT c.poly_id, x, y, {_LIST} FROM c JOIN pe ON c.poly_id = pe.poly_id GROUP BY c.poly_id, x, y, {_LIST}
           HAVING count(*) FILTER (WHERE {X.CROSSES}) % 2 = 1)
-    SELECT poly_id, count(*) AS n, CAST(sum(b0) AS BIGINT) AS sum_b0, CAST(sum(b3) AS BIGINT) AS sum_b3 FROM i GROUP BY poly_id""",
+    SELECT poly_id, count(*) AS n, {", ".join(f"CAST(sum({b}) AS BIGINT) AS sum_{b}" for b in _ALL)} FROM i GROUP BY poly_id""",
 )
 def polygon_zones(spark, sf):
-    """Masked cells of every (polygon, tile) pair, summed per polygon."""
-    tiles = extract.select_bands(X.lp_tiles(spark, sf), [0, 3])
-    masked = extract.polygons_join_tiles(X.polygons(spark, sf), tiles, X.lp_grid(spark, sf), "poly_id")
-    cells = exploded(masked.select("poly_id", "b0", "b1"), "b0", "b1").where("b0 IS NOT NULL")
-    return cells.groupBy("poly_id").agg(
-        F.count("*").alias("n"), F.sum("b0").alias("sum_b0"), F.sum("b1").alias("sum_b3")
-    )
+    """Masked cells of every (polygon, tile) pair, all bands summed per polygon."""
+    masked = extract.polygons_join_tiles(X.polygons(spark, sf), X.lp_tiles(spark, sf), X.lp_grid(spark, sf), "poly_id")
+    cells = exploded(masked.select("poly_id", *_ALL), *_ALL).where("b0 IS NOT NULL")
+    return cells.groupBy("poly_id").agg(F.count("*").alias("n"), *[F.sum(b).alias(f"sum_{b}") for b in _ALL])
 
 
-_MASKED = f"""WITH {X.LP}, {X.POLY_EDGES}, c AS (SELECT x, y, b0, b3, {X.CENTRES} FROM lp),
-    i AS (SELECT x, y, b0, b3 FROM c, pe GROUP BY x, y, b0, b3 HAVING count(*) FILTER (WHERE {X.CROSSES}) % 2 = 1)"""
+_MASKED = f"""WITH {X.LP}, {X.POLY_EDGES}, c AS (SELECT x, y, {_LIST}, {X.CENTRES} FROM lp),
+    i AS (SELECT x, y, {_LIST} FROM c, pe GROUP BY x, y, {_LIST} HAVING count(*) FILTER (WHERE {X.CROSSES}) % 2 = 1)"""
 
 
-@query("mask_polygon", f"{_MASKED} SELECT x, y, b0 FROM i")
+@query("mask_polygon", f"{_MASKED} SELECT x, y, {_LIST} FROM i")
 def mask_polygon(spark, sf):
     px = extract.mask_pixels(X.lp_pixels(spark, sf), X.POLY, X.lp_grid(spark, sf))
-    return px.select("x", "y", "b0")
+    return px.select("x", "y", *_ALL)
 
 
-@query("mask_polygon_tiles", f"{_MASKED} SELECT x, y, b0 FROM i")
+@query("mask_polygon_tiles", f"{_MASKED} SELECT x, y, {_LIST} FROM i")
 def mask_polygon_tiles(spark, sf):
-    tiles = extract.select_bands(X.lp_tiles(spark, sf), [0])
-    masked = extract.mask_tiles(tiles, X.POLY, X.lp_grid(spark, sf))
-    return layout.tiles_to_pixels(masked, X.TILE).select("x", "y", "b0")
+    masked = extract.mask_tiles(X.lp_tiles(spark, sf), X.POLY, X.lp_grid(spark, sf))
+    return layout.tiles_to_pixels(masked, X.TILE).select("x", "y", *_ALL)
 
 
 @query(
     "crop_extent",
-    f"WITH {X.LP} SELECT x, y, b0 FROM lp WHERE x BETWEEN 200 AND 599 AND y BETWEEN 224 AND 823",
+    f"WITH {X.LP} SELECT x, y, {_LIST} FROM lp WHERE x BETWEEN 200 AND 599 AND y BETWEEN 224 AND 823",
 )
 def crop_extent(spark, sf):
     """Crop to a map box, in tile form; cell bounds follow the crop rule."""
-    pieces = extract.crop_layer(extract.select_bands(X.lp_tiles(spark, sf), [0]), X.lp_grid(spark, sf), BOX)
-    return _piece_pixels(pieces).select("x", "y", "b0")
+    return _piece_pixels(extract.crop_layer(X.lp_tiles(spark, sf), X.lp_grid(spark, sf), BOX), _ALL)
 
 
-def _piece_pixels(pieces):
-    cells = exploded(pieces.select("x0", "y0", "px", "py", "w", "b0"), "b0").where("b0 IS NOT NULL")
+def _piece_pixels(pieces, bands):
+    cells = exploded(pieces.select("x0", "y0", "px", "py", "w", *bands), *bands).where(f"{bands[0]} IS NOT NULL")
     return cells.select(
         (F.col("x0") + F.col("px") + F.col("k") % F.col("w")).alias("x"),
         (F.col("y0") + F.col("py") + F.floor(F.col("k") / F.col("w"))).alias("y"),
-        "b0",
+        *bands,
     )
 
 
@@ -181,7 +180,7 @@ def extract_polygon(spark, sf):
     pieces = extract.extract(
         X.lp_tiles(spark, sf), X.lp_grid(spark, sf), X.POLY, "3", polygon_crs="EPSG:32633"
     )
-    return _piece_pixels(pieces)
+    return _piece_pixels(pieces, ["b0"])
 
 
 @query(
@@ -307,11 +306,11 @@ def batch_select(spark, sf):
 # --------------------------------------------------------------------- resolutions
 @query(
     "pyramid_level",
-    f"WITH {X.LP} SELECT x // 4 AS x, y // 4 AS y, b0, b3 FROM lp WHERE x % 4 = 0 AND y % 4 = 0",
+    f"WITH {X.LP} SELECT x // 4 AS x, y // 4 AS y, {_LIST} FROM lp WHERE x % 4 = 0 AND y % 4 = 0",
 )
 def pyramid_level(spark, sf):
     tiles = layout.pyramid_level(X.lp_tiles(spark, sf), X.TILE, 2)
-    return layout.tiles_to_pixels(tiles, X.TILE).select("x", "y", "b0", "b3")
+    return layout.tiles_to_pixels(tiles, X.TILE).select("x", "y", *_ALL)
 
 
 @query(
@@ -366,12 +365,12 @@ _TX0, _TX1, _TY0, _TY1, _PER = _target_range()
     ll AS (SELECT tx, ty, degrees(mx / 6378137) AS lon, degrees(atan(exp(my / 6378137)) * 2 - pi() / 2) AS lat FROM m),
     {_tm_sql('ll', 'tx, ty')},
     s AS (SELECT tx, ty, CAST(floor((ux - {X.OX}) / {X.CELL}) AS BIGINT) AS x, CAST(floor(({X.OY} - uy) / {X.CELL}) AS BIGINT) AS y FROM utm)
-    SELECT tx AS x, ty AS y, b0, b3 FROM s JOIN lp ON s.x = lp.x AND s.y = lp.y""",
+    SELECT tx AS x, ty AS y, {_LIST} FROM s JOIN lp ON s.x = lp.x AND s.y = lp.y""",
 )
 def reproject_nn(spark, sf):
     """The large raster resampled to the web grid."""
     source, target = X.lp_grid(spark, sf), Grid.zoomed(_ZOOM)
-    tiles = extract.select_bands(X.lp_tiles(spark, sf), [0, 3])
+    tiles = X.lp_tiles(spark, sf)
     keys = layout.target_keys_for(tiles.select("col", "row"), source, target)
     out = layout.reproject_nn(tiles, source, target, keys)
-    return layout.tiles_to_pixels(out, target.tile).select("x", "y", "b0", F.col("b1").alias("b3"))
+    return layout.tiles_to_pixels(out, target.tile).select("x", "y", *_ALL)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastertable.functions.geo import reproject_columns
+from rastertable.functions.geo import reproject, reproject_columns
 from rastertable.functions.tiles import constant_cells, crop_cells, dense_cells, let, place_cells
 from rastertable.grid import Grid, zorder
-from rastertable.operators.joins import measured_broadcast, spread
+from rastertable.operators.joins import join_tiles, measured_broadcast, spread
 from rastertable.schema import BAND_NAMES, LAYER_META, SCENE_SIZE, band_columns, cell_sql_type
 
 # Contributions to one tile that are merged inside one group; tiles with more
@@ -362,87 +364,138 @@ def pyramid_pixels(pixels: DataFrame, level: int) -> DataFrame:
     )
 
 
+# Cells of all bands that an Arrow batch of whole tiles may hold.
+BATCH_CELLS = 8_000_000
+
+
+def _bounded_batches(tiles: DataFrame, cells: int) -> None:
+    """Let Arrow batches of this session hold no more whole tiles than ``BATCH_CELLS`` allow."""
+    conf, name = tiles.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = max(1, BATCH_CELLS // (cells * max(len(band_columns(tiles)), 1)))
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+
+
+def _source_cells(source: Grid, target: Grid, col: int, row: int, window=None):
+    """Source cell of the centres in a window of a target tile, and which lie on the source.
+
+    Coordinates of columns and rows are kept apart as long as the projection
+    allows; NumPy broadcasts them where it mixes the two.
+    """
+    c0, c1, r0, r1 = window or (0, target.tile - 1, 0, target.tile - 1)
+    tx = np.arange(c0, c1 + 1) + col * target.tile
+    ty = np.arange(r0, r1 + 1) + row * target.tile
+    mx = (target.ox + (tx + 0.5) * target.cw)[None, :]
+    my = (target.oy - (ty + 0.5) * target.ch)[:, None]
+    with np.errstate(all="ignore"):
+        sx, sy = reproject(mx, my, target.crs, source.crs, np)
+        x, y = np.floor((sx - source.ox) / source.cw), np.floor((source.oy - sy) / source.ch)
+    x, y = np.broadcast_arrays(x, y)
+    inside = np.isfinite(x) & np.isfinite(y) & (x >= 0) & (y >= 0)
+    if source.width is not None:
+        inside &= (x < source.width) & (y < source.height)
+    return np.where(inside, x, -1).astype(np.int64), np.where(inside, y, -1).astype(np.int64), inside
+
+
+def footprints(target_keys: DataFrame, source: Grid, target: Grid) -> DataFrame:
+    """(tcol, trow, col, row, c0, c1, r0, r1): source tiles that a target tile needs, each with
+    the window of target cells that may lie on it."""
+    names = ["tcol", "trow", "col", "row", "c0", "c1", "r0", "r1"]
+
+    def run(batches):
+        for batch in batches:
+            out = [np.empty((0, 8), np.int64)]
+            for col, row in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                x, y, inside = _source_cells(source, target, col, row)
+                r, c = np.nonzero(inside)
+                if not len(r):
+                    continue
+                scol, srow = x[r, c] // source.tile, y[r, c] // source.tile
+                order = np.lexsort((srow, scol))
+                scol, srow, r, c = scol[order], srow[order], r[order], c[order]
+                starts = np.flatnonzero(np.append(True, (scol[1:] != scol[:-1]) | (srow[1:] != srow[:-1])))
+                own = np.full(len(starts), 1)
+                out.append(
+                    np.stack(
+                        [
+                            own * col, own * row, scol[starts], srow[starts],
+                            np.minimum.reduceat(c, starts), np.maximum.reduceat(c, starts),
+                            np.minimum.reduceat(r, starts), np.maximum.reduceat(r, starts),
+                        ],
+                        axis=1,
+                    )
+                )
+            rows = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, i], pa.int32()) for i in range(8)], names=names)
+
+    keys = spread(target_keys.select("col", "row").distinct(), "col", "row")
+    return keys.mapInArrow(run, ", ".join(f"{n} int" for n in names))
+
+
 def reproject_nn(
     tiles: DataFrame, source: Grid, target: Grid, target_keys: DataFrame, skip_empty: bool = True
 ) -> DataFrame:
     """Resample a layer to another grid or CRS, nearest neighbour.
 
-    Every target cell centre is projected back to the source grid.  The address
-    pairs are grouped by (target tile, source tile), joined to the source tiles
-    by key, and the looked-up cells regrouped per target tile, so neighbouring
-    tiles arrive by join and no buffer is needed.  Groups are bounded by the
-    cells of one tile.
+    Every target cell centre is projected back to the source grid.  Footprints
+    say which source tiles a target tile needs; they are joined to the source
+    tiles by key, each pair yields the target cells that lie on its source tile
+    (in NumPy, only over the pair's window), and these pieces are put together
+    per target tile.  Neighbouring tiles arrive by join, so no buffer is
+    needed; a piece and a group hold at most the cells of one target tile,
+    whatever the scale, and few footprints are broadcast, so that source tiles
+    stay where they are.
     """
     t, s = target.tile, source.tile
     bands = band_columns(tiles)
-    n = t * t
-    cell = (
-        spread(target_keys.select("col", "row").distinct(), "col", "row")
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        .withColumns(
-            {
-                "_tx": target.centre_x(F.col("col").cast("bigint") * t + F.col("k") % t),
-                "_ty": target.centre_y(F.col("row").cast("bigint") * t + F.floor(F.col("k") / t)),
-            }
-        )
-    )
-    at = reproject_columns(cell, F.col("_tx"), F.col("_ty"), target.crs, source.crs, ("_sx", "_sy"))
-    # Cells off the source get the key (-1, -1), which no tile has.  They are
-    # not filtered, and the keys are not nullable, because a filter (also the
-    # one a join infers) would be pushed down with the projection formulas
-    # copied into it.
-    at = at.withColumns(
-        {
-            "_x": F.coalesce(source.x_of(F.col("_sx")), F.lit(-1).cast("bigint")),
-            "_y": F.coalesce(source.y_of(F.col("_sy")), F.lit(-1).cast("bigint")),
-        }
-    )
-    inside = (F.col("_x") >= 0) & (F.col("_y") >= 0)
-    if source.width is not None:
-        inside &= (F.col("_x") < source.width) & (F.col("_y") < source.height)
-    none = F.lit(-1)
-    address = at.withColumn("_in", inside).select(
-        F.col("col").alias("tcol"), F.col("row").alias("trow"),
-        F.coalesce(F.when(F.col("_in"), F.floor(F.col("_x") / s).cast("int")), none).alias("scol"),
-        F.coalesce(F.when(F.col("_in"), F.floor(F.col("_y") / s).cast("int")), none).alias("srow"),
-        # Target and source cell in one number: cheap to collect and to sort.
-        F.when(
-            F.col("_in"),
-            F.shiftleft(F.col("k").cast("bigint"), 32)
-            + F.pmod("_y", F.lit(s)) * s + F.pmod("_x", F.lit(s)),
-        ).alias("_a"),
+    types = {b: cell_sql_type(tiles, b) for b in bands}
+    _bounded_batches(tiles, max(s * s, t * t))
+    pairs = footprints(target_keys, source, target).withColumn("_pair", F.xxhash64("tcol", "trow"))
+    joined = join_tiles(pairs, tiles.select("col", "row", *bands), "_pair").select(
+        "tcol", "trow", "col", "row", F.array("c0", "c1", "r0", "r1").alias("_window"), *bands
     )
-    wanted = address.groupBy("tcol", "trow", "scol", "srow").agg(
-        F.sort_array(F.collect_list("_a")).alias("_at")
-    )
-    wanted = wanted.withColumnsRenamed({"scol": "col", "srow": "row"})
-    looked_up = wanted.join(tiles.select("col", "row", *bands), ["col", "row"]).select(
-        F.col("tcol").alias("col"), F.col("trow").alias("row"),
-        F.transform(
-            "_at",
-            lambda a: F.struct(
-                F.shiftright(a, 32).cast("int").alias("k"),
-                *[
-                    F.get(F.col(b), a.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias(b)
-                    for b in bands
-                ],
-            ),
-        ).alias("_e"),
-    )
-    parts = looked_up.groupBy("col", "row").agg(F.collect_list("_e").alias("_parts"))
-    grouped = parts.select(
-        "col", "row",
-        F.when(F.size("_parts") == 1, F.get("_parts", F.lit(0)))
-        .otherwise(F.sort_array(F.flatten("_parts"))).alias("_e"),
-    )
-    if skip_empty:
-        grouped = grouped.where(
-            F.exists("_e", lambda e: F.coalesce(*[e[b] for b in bands]).isNotNull())
-        )
-    return grouped.select(
+    schema = "col int, row int, k array<int>, " + ", ".join(f"{b} array<{types[b]}>" for b in bands)
+
+    def look_up(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            keys = [columns[n].to_pylist() for n in ("tcol", "trow", "col", "row", "_window")]
+            found = []
+            for tcol, trow, col, row, window in zip(*keys):
+                x, y, inside = _source_cells(source, target, tcol, trow, window)
+                here = inside & (x // s == col) & (y // s == row)
+                r, c = np.nonzero(here)
+                k = (r + window[2]) * t + c + window[0]
+                found.append((k, (y[here] % s) * s + x[here] % s))
+            offsets = pa.array(np.cumsum([0, *(len(k) for k, _ in found)]), pa.int32())
+            out = [columns["tcol"], columns["trow"]]
+            out.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([k for k, _ in found]), pa.int32())))
+            for b in bands:
+                cells, starts = columns[b].values, columns[b].offsets.to_numpy()
+                at = np.concatenate([a + start for start, (_, a) in zip(starts, found)])
+                out.append(pa.ListArray.from_arrays(offsets, cells.take(pa.array(at, pa.int64()))))
+            yield pa.RecordBatch.from_arrays(out, names=["col", "row", "k", *bands])
+
+    def put_together(pieces: pa.Table) -> pa.Table:
+        pieces = pieces.combine_chunks()
+        k = pieces["k"].combine_chunks().flatten().to_numpy()
+        at = np.full(t * t, -1)
+        at[k] = np.arange(len(k))
+        place = pa.array(at, pa.int64(), mask=at < 0)
+        whole = {b: pieces[b].combine_chunks().flatten().take(place) for b in bands}
+        if skip_empty and all(v.null_count == len(v) for v in whole.values()):
+            return pieces.slice(0, 0).select(["col", "row", *bands])
+        ends = pa.array([0, t * t], pa.int32())
+        return pa.table([pieces["col"].slice(0, 1), pieces["row"].slice(0, 1), *(pa.ListArray.from_arrays(ends, v) for v in whole.values())], names=["col", "row", *bands])
+
+    dense = ", ".join(f"{b} array<{types[b]}>" for b in bands)
+    parts = joined.mapInArrow(look_up, schema)
+    out = parts.groupBy("col", "row").applyInArrow(put_together, f"col int, row int, {dense}")
+    return out.select(
         "col", "row", zorder(F.col("col"), F.col("row")).alias("z"),
-        F.lit(t).alias("tile_cols"), F.lit(t).alias("tile_rows"),
-        *[dense_cells(F.col("_e"), b, n, cell_sql_type(tiles, b)).alias(b) for b in bands],
+        F.lit(t).alias("tile_cols"), F.lit(t).alias("tile_rows"), *bands,
     )
 
 

@@ -215,3 +215,44 @@ def test_many_edges_are_one_constant(spark):
     assert "transform(" not in plan and "flatten(" not in plan
     want = sum((x + 0.5 - 20) ** 2 + (y + 0.5 - 20) ** 2 < 15**2 - 0.2 for x in range(40) for y in range(40))
     assert abs(kept.count() - want) <= 4
+
+
+@pytest.mark.parametrize("scale", [0.25, 0.9, 6.0])
+def test_reproject_against_plain(spark, scale):
+    """Every target cell holds the source cell under its centre: finer and coarser grids, holes, two cell types."""
+    from rastertable.functions import geo
+    from rastertable.grid import Grid
+    from rastertable.operators import layout
+
+    source = Grid(366000.0, 5808000.0, 1.0, 1.0, 8, 30, 20)
+    (x, y) = geo.reproject(366000.0, 5808000.0, source.crs, "EPSG:3857", geo.NUM)
+    # Web cells are about 1.6 times as long as they are on the ground.
+    target = Grid(x - 40, y + 40, 1.6 * scale, 1.6 * scale, 16, crs="EPSG:3857")
+    ints = lambda x, y: None if (x + y) % 7 == 0 else 100 * y + x
+    rows = []
+    for col in range(4):
+        for row in range(3):
+            if (col, row) == (1, 1):
+                continue  # a tile that is not there
+            at = [(col * 8 + k % 8, row * 8 + k // 8) for k in range(64)]
+            rows.append((col, row, [ints(*p) for p in at], [p[0] + p[1] / 4 for p in at]))
+    tiles = spark.createDataFrame(rows, "col int, row int, b0 array<int>, b1 array<double>")
+    keys = layout.target_keys_for(tiles.select("col", "row"), source, target)
+    got = {}
+    for r in layout.reproject_nn(tiles, source, target, keys).collect():
+        assert len(r.b0) == len(r.b1) == 256 and (r.tile_cols, r.tile_rows) == (16, 16)
+        for k, (a, b) in enumerate(zip(r.b0, r.b1)):
+            if b is not None:
+                got[r.col * 16 + k % 16, r.row * 16 + k // 16] = (a, b)
+    want = {}
+    cells = int(160 / (1.6 * scale))
+    for tx in range(cells):
+        for ty in range(cells):
+            mx, my = target.ox + (tx + 0.5) * target.cw, target.oy - (ty + 0.5) * target.ch
+            sx, sy = geo.reproject(mx, my, target.crs, source.crs, geo.NUM)
+            cx, cy = int(np.floor(sx - source.ox)), int(np.floor(source.oy - sy))
+            if 0 <= cx < 30 and 0 <= cy < 20 and (cx // 8, cy // 8) != (1, 1):
+                want[tx, ty] = (ints(cx, cy), cx + cy / 4)
+    assert want and got == want
+    assert layout.reproject_nn(tiles, source, target, keys.where("false")).count() == 0
+    assert layout.reproject_nn(tiles.where("false"), source, target, keys).count() == 0
