@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,28 +284,58 @@ def test_grammar():
 
 
 def test_language_model_edges(spark, edges, empty):
-    rows = mixing.score(edges, mixing.MixParams(table_bits=16)).collect()
+    rows = mixing.score(edges).collect()
     assert len(rows) == N and all(r["score"] < 0 and r["base_score"] < 0 for r in rows)
     assert find(rows, 3)[0]["n_tokens"] == 1 and find(rows, 3)[0]["score"] == find(rows, 4)[0]["score"]
     a, b = find(rows, 1)
     assert a == b
-    assert mixing.score(empty, mixing.MixParams(table_bits=16)).count() == 0
+    assert mixing.score(empty).count() == 0
 
 
 def test_language_model_is_a_distribution():
     """The probabilities of all next bytes add up to one."""
     rng = np.random.default_rng(1)
-    p = mixing.MixParams(table_bits=16)
-    m = mixing.Mixer({k: rng.integers(-3000, 3000, 1 << 16).astype(np.int16) for k in mixing.ORDERS}, p)
+    p = mixing.MixParams()
+    after = np.uint64(0x6162636465) << np.uint64(8)
+    blocks = [(1, 0, rng.integers(-30000, 30000, 1 << 16).astype(np.int16).tobytes()), (2, 0x64, rng.integers(-30000, 30000, 1 << 16).astype(np.int16).tobytes())]
+    m = mixing.Mixer(mixing.ShortContexts(blocks), p)
+    long = mixing.LongContexts(after | rng.choice(256, 40, replace=False).astype(np.uint64), rng.integers(1, 9, 40))
     m.map = rng.uniform(0.01, 0.99, 256 * p.buckets)
-    context = np.uint64(0x6162636465) << np.uint64(8)
-    assert np.power(10, m.log10(context | np.arange(256, dtype=np.uint64))).sum() == pytest.approx(1)
+    assert np.power(10, m.log10(after | np.arange(256, dtype=np.uint64), long)).sum() == pytest.approx(1)
+
+
+def test_long_contexts_count_exactly():
+    """Counts after each context and leading bits match a plain count, also where chunks cut the windows."""
+    rng = np.random.default_rng(2)
+    w = np.unique(rng.integers(0, 3, (4000, 6)).astype(np.uint64) @ (np.uint64(256) ** np.arange(6, dtype=np.uint64)) * np.uint64(37) & np.uint64((1 << 48) - 1))
+    n = rng.integers(1, 5, len(w))
+    w = w[np.lexsort((w, w >> np.uint64(8) & np.uint64(0xFFFFFF)))]
+    rows = pa.table({"key": w.view(np.int64), "kind": np.full(len(w), mixing.LEARNING, np.int32), "n": n})
+    chunks = list(mixing._chunks(rows.to_batches(max_chunksize=7), 100))
+    assert pa.concat_tables(chunks) == rows and len(chunks) > 1
+    contexts = [set((c.column("key").to_numpy() >> 8 & 0xFFFFFF).tolist()) for c in chunks]
+    assert sum(map(len, contexts)) == len(set().union(*contexts))
+    for chunk in chunks:
+        part, _, _, long = mixing._chunk_windows(chunk)
+        for order in mixing.LONG:
+            for bit, (n0, n1) in enumerate(long.path(order, part)):
+                for x, a, b in zip(part.tolist(), n0, n1):
+                    same = [(y, c) for y, c in zip(w.tolist(), n) if (y ^ x) & ((1 << (8 * order + 8)) - 1) >> (8 - bit) << (8 - bit) == 0]
+                    assert (a, b) == tuple(sum(c for y, c in same if y >> (7 - bit) & 1 == v) for v in (0, 1))
+
+
+def test_rare_windows_are_joined(docs, edges):
+    """The broadcast share of the windows does not change the score."""
+    for d in (docs, edges):
+        few, all_ = (sorted((r["doc_id"] or -1, r["n_tokens"], r["score"]) for r in mixing.score(d, p).collect()) for p in (mixing.MixParams(top_windows=30), mixing.MixParams()))
+        assert [r[:2] for r in few] == [r[:2] for r in all_]
+        assert [r[2] for r in few] == pytest.approx([r[2] for r in all_], rel=1e-9)
 
 
 def test_rare_words_are_joined(spark, docs):
     """The broadcast share of the words does not change the base score."""
-    few = mixing.score(docs, mixing.MixParams(table_bits=16, top_words=50))
-    all_ = mixing.score(docs, mixing.MixParams(table_bits=16))
+    few = mixing.score(docs, mixing.MixParams(top_words=50))
+    all_ = mixing.score(docs, mixing.MixParams())
     both = few.select("doc_id", "n_known", "base_score").join(all_.select("doc_id", F.col("n_known").alias("k"), F.col("base_score").alias("b")), "doc_id")
     assert both.where((F.col("n_known") != F.col("k")) | (F.abs(F.col("base_score") - F.col("b")) > 1e-6 * F.abs("b"))).count() == 0
     assert both.count() == docs.count()
