@@ -9,7 +9,7 @@ expected grade and for the probability of the top grades.
 
 Edge cases: null and empty texts have no features and get the grades' base
 rates.  Ratings that are null or outside 0..levels-1 are not used; several
-ratings of one id count as their lowest.  Without ratings all grades are
+ratings of one id count as their lowest, several texts of one as its smallest.  Without ratings all grades are
 equally likely.  Only doc_id and text are read, so extra columns cannot clash.
 An empty table gives an empty result.
 """
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastertable.llm.text import Interner, fold, map_arrow, raw_text
+from rastertable.llm.text import Interner, fold, map_arrow, one_text, raw_text
 
 _RUNS = ((re.compile(rb"[a-z]+"), b"a"), (re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[0-9]+"), b"9"), (re.compile(rb"[\x80-\xff]+"), b"u"))
 
@@ -144,8 +144,9 @@ def learn(docs: DataFrame, ratings: DataFrame, p: OrdinalParams) -> tuple[np.nda
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(p.rows)
     )
-    # A bounded number of ids is broadcast, so texts are not moved; each id is unique in it.
+    # A bounded number of ids is broadcast; only their texts are moved, one an id.
     texts = docs.select(F.col("doc_id").cast("long"), raw_text().alias("text")).join(F.broadcast(rows), "doc_id")
+    texts = one_text(texts, "grade")
     sparse = map_arrow(texts.select("text", "grade"), lambda b: _sparse(b, p), "grade int, bucket array<int>, value array<float>")
     found = sparse.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(lambda t: _fit_table(t, p), "weights array<double>, thresholds array<double>").first()
     if found is None:

@@ -69,6 +69,11 @@ def raw_text(text: str = "text") -> Column:
     return F.col(text).cast("string").cast("binary")
 
 
+def one_text(rows: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label, text), one row an id with its smallest text, so that a sample of ids is one of rows too."""
+    return rows.groupBy("doc_id", label).agg(F.min("text").alias("text"))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with small batches."""
     small_batches(df.sparkSession)

@@ -12,7 +12,7 @@ The insult machine's words are learned: words and word beginnings that toxic
 texts have far more often than clean ones, with enough different words before
 them, so that the vocabulary of one copied text is not mistaken for insults.
 Learning uses at most ``per_class`` labelled rows of each class, chosen by a
-hash of the id.
+hash of the id, and one text of each id, the smallest.
 
 Edge cases: null and empty texts match nothing and get the score of no match.
 Label rows whose label or id is null are not used.  Several labels of one id:
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastertable.llm.text import Interner, fold, map_arrow, raw_text
+from rastertable.llm.text import Interner, cut, fold, map_arrow, one_text, raw_text
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 PLAIN, TARGETED, NEGATED, REPORTED, THREATENED = range(5)
@@ -264,9 +264,9 @@ _COLUMNS = ", ".join(f"f{k} double" for k in range(N_FEATURES))
 def score(docs: DataFrame, labels: DataFrame, params: ToxicParams | None = None, folds: int = 5) -> DataFrame:
     """doc_id, held_out, score, predicted, clauses of every document."""
     p = params or ToxicParams()
-    # The sample has a bounded number of rows, so it may be broadcast; texts are not moved.
+    # The sample has a bounded number of ids, so it may be broadcast; only their texts are moved, one an id.
     chosen = F.broadcast(sample(labels, folds, p))
-    rows = docs.select(F.col("doc_id").cast("long"), raw_text().alias("text")).join(chosen, "doc_id")
+    rows = cut(one_text(docs.select(F.col("doc_id").cast("long"), raw_text().alias("text")).join(chosen, "doc_id"), "toxic"))
     lexicon = learn_lexicon(rows, p)
 
     def match(batches):

@@ -283,6 +283,15 @@ def test_grammar():
     assert read("i will kill time. you know") == read("") == []
 
 
+def test_repeated_rows_of_an_id_are_learned_once(docs, labels):
+    """Many rows of one labelled id change neither the samples nor the models."""
+    one = labels.where("toxic = 1 and pmod(crc32(cast(doc_id as string)), 5) != 0").orderBy("doc_id").limit(1).select("doc_id")
+    many = docs.union(docs.join(one, "doc_id", "semi").crossJoin(docs.sparkSession.range(200)).select(*docs.columns))
+    for score, column in ((lambda d: toxicity.score(d, labels), "score"), (lambda d: ordinal.score(d, ordinal.grades(labels)), "expected_grade")):
+        a, b = ({r["doc_id"]: r[column] for r in score(d).collect()} for d in (docs, many))
+        assert a == pytest.approx(b, abs=1e-6)
+
+
 def test_language_model_edges(spark, edges, empty):
     rows = mixing.score(edges).collect()
     assert len(rows) == N and all(r["score"] < 0 and r["base_score"] < 0 for r in rows)
