@@ -290,6 +290,23 @@ def with_index(spark, sf):
     return index.with_index(X.lp_tiles(spark, sf).select("col", "row"))
 
 
+@query(
+    "indexed_tiles",
+    f"""{_ZKEYS}, i AS (SELECT col, row, row_number() OVER (ORDER BY z) - 1 AS idx FROM zk),
+    t AS (SELECT x // 64 AS col, y // 64 AS row, {", ".join(f"CAST(sum({b}) AS BIGINT) AS sum_{b}" for b in _ALL)}
+          FROM lp GROUP BY 1, 2)
+    SELECT i.col, i.row, idx, {", ".join(f"sum_{b}" for b in _ALL)} FROM i JOIN t ON i.col = t.col AND i.row = t.row""",
+)
+def indexed_tiles(spark, sf):
+    """Numbers of whole tiles, with the sum of every band."""
+    zero = F.lit(0).cast("bigint")
+    sums = [
+        F.aggregate(b, zero, lambda a, v: a + F.coalesce(v.cast("bigint"), zero)).alias(f"sum_{b}")
+        for b in _ALL
+    ]
+    return index.with_index(X.lp_tiles(spark, sf)).select("col", "row", "idx", *sums)
+
+
 @query(
     "batch_select",
     f"""{_ZKEYS}, i AS (SELECT col, row, row_number() OVER (ORDER BY z) - 1 AS idx FROM zk),
@@ -356,17 +373,17 @@ def _target_range() -> tuple[int, int, int, int, int]:
 _TX0, _TX1, _TY0, _TY1, _PER = _target_range()
 
 
-@query(
-    "reproject_nn",
-    f"""WITH {X.LP}, {X.SHEETS}, gx AS (SELECT unnest(range({_TX0}, {_TX1})) AS tx),
+_REPROJECT = f"""WITH {X.LP}, {X.SHEETS}, gx AS (SELECT unnest(range({_TX0}, {_TX1})) AS tx),
     gy AS (SELECT unnest(range({_TY0}, {_TY1} + s * {_PER})) AS ty FROM sh),
     m AS (SELECT tx, ty, CAST({-WORLD_HALF!r} AS DOUBLE) + (tx + CAST(0.5 AS DOUBLE)) * CAST({_ZC!r} AS DOUBLE) AS mx,
           CAST({WORLD_HALF!r} AS DOUBLE) - (ty + CAST(0.5 AS DOUBLE)) * CAST({_ZC!r} AS DOUBLE) AS my FROM gx, gy),
     ll AS (SELECT tx, ty, degrees(mx / 6378137) AS lon, degrees(atan(exp(my / 6378137)) * 2 - pi() / 2) AS lat FROM m),
     {_tm_sql('ll', 'tx, ty')},
     s AS (SELECT tx, ty, CAST(floor((ux - {X.OX}) / {X.CELL}) AS BIGINT) AS x, CAST(floor(({X.OY} - uy) / {X.CELL}) AS BIGINT) AS y FROM utm)
-    SELECT tx AS x, ty AS y, {_LIST} FROM s JOIN lp ON s.x = lp.x AND s.y = lp.y""",
-)
+    SELECT tx AS x, ty AS y, {_LIST} FROM s JOIN lp ON s.x = lp.x AND s.y = lp.y"""
+
+
+@query("reproject_nn", _REPROJECT)
 def reproject_nn(spark, sf):
     """The large raster resampled to the web grid."""
     source, target = X.lp_grid(spark, sf), Grid.zoomed(_ZOOM)
@@ -374,3 +391,21 @@ def reproject_nn(spark, sf):
     keys = layout.target_keys_for(tiles.select("col", "row"), source, target)
     out = layout.reproject_nn(tiles, source, target, keys)
     return layout.tiles_to_pixels(out, target.tile).select("x", "y", *_ALL)
+
+
+_LEVELS = 5
+
+
+@query(
+    "zoomed_levels",
+    f"""WITH base AS ({_REPROJECT}), k AS (SELECT unnest(range(0, {_LEVELS})) AS up)
+    SELECT CAST({_ZOOM} - up AS INTEGER) AS zoom, x >> up AS x, y >> up AS y, {_LIST}
+    FROM base, k WHERE x % (1 << up) = 0 AND y % (1 << up) = 0""",
+)
+def zoomed_levels(spark, sf):
+    """The web layer of the large raster with its overviews, cell by cell."""
+    source, target = X.lp_grid(spark, sf), Grid.zoomed(_ZOOM)
+    tiles = X.lp_tiles(spark, sf)
+    keys = layout.target_keys_for(tiles.select("col", "row"), source, target)
+    web = layout.zoomed_levels(layout.reproject_nn(tiles, source, target, keys), target.tile, _ZOOM, _LEVELS)
+    return layout.tiles_to_pixels(web, target.tile).select("zoom", "x", "y", *_ALL)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastertable.grid import zorder
+from rastertable.operators.joins import BROADCAST_ROWS
 
 # Keys per numbering bucket: 2 ** 12.
 BUCKET_BITS = 12
@@ -51,12 +52,20 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", bits: int = BUCKET_BI
 
 
 def with_index(tiles: DataFrame, out: str = "idx") -> DataFrame:
-    """Number the tiles of a layer in Z-order."""
-    if "z" in tiles.columns:
-        return dense_index(tiles, "z", out)
-    return dense_index(
-        tiles.withColumn("z", zorder(F.col("col"), F.col("row"))), "z", out
-    ).drop("z")
+    """Number the tiles of a layer in Z-order.
+
+    Only the keys are sorted and numbered.  Few numbers are broadcast to the
+    tiles, which then stay where they were read; otherwise both are shuffled by
+    their key once.
+    """
+    z = F.col("z") if "z" in tiles.columns else zorder(F.col("col"), F.col("row"))
+    keys = dense_index(tiles.select("col", "row", z.alias("_z")), "_z", out).drop("_z")
+    if set(tiles.columns) == {"col", "row"}:
+        return keys
+    # The keys are as many as the tiles, so the cheaper scan of the keys is measured.
+    if tiles.select("col", "row").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return tiles.join(keys, ["col", "row"]).select(*tiles.columns, out)
 
 
 def batch(tiles: DataFrame, n: int, k: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -310,6 +312,23 @@ def pyramid_level(tiles: DataFrame, tile: int, level: int) -> DataFrame:
     return pixels_to_tiles(pyramid_pixels(kept, level), tile)
 
 
+def zoomed_levels(tiles: DataFrame, tile: int, zoom: int, levels: int) -> DataFrame:
+    """A layer of the given zoom and its next overviews, ``levels`` in all: (zoom, col, row, bands).
+
+    Each level is thinned from the base tiles, so no level waits for another and
+    Spark shares the base's shuffle.  For overviews down to zoom 0 use the job
+    that writes each level before it reads it.
+    """
+    if not 1 <= levels <= zoom + 1:
+        raise ValueError("need 1 <= levels <= zoom + 1")
+    bands = band_columns(tiles)
+    each = [
+        pyramid_level(tiles, tile, k).select(F.lit(zoom - k).alias("zoom"), "col", "row", *bands)
+        for k in range(levels)
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
 def _merge_children(pieces: DataFrame, tile: int, side: int, ctype: dict[str, str]) -> DataFrame:
     """Assemble disjoint ``side x side`` pieces on a regular raster of a tile."""
     per = tile // side
