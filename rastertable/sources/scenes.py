@@ -20,6 +20,11 @@ from rastertable.schema import scene_block_schema
 # A scene key in a file name: two numbers joined by an underscore (fixed value).
 SCENE_KEY = r"(\d+)_(\d+)"
 
+# Cell types of sources and the names that metadata has for them (fixed values).
+CELL_NAMES = {
+    "tinyint": "int8", "smallint": "int16", "int": "int32", "float": "float32", "double": "float64",
+}
+
 
 def split_paths(paths: str | Sequence[str]) -> list[str]:
     """Non-blank entries of a comma-separated path list."""
@@ -89,6 +94,24 @@ def parse_scene_key(df: DataFrame, name: str = "file_name", on_bad: str = "error
     )
 
 
+def stored_cell(spark: SparkSession, path: str) -> T.DataType:
+    """Cell type of one source's files, from a file footer; other than numbers is an error."""
+    stored = spark.read.parquet(path).schema["cells"].dataType
+    cell = stored.elementType if isinstance(stored, T.ArrayType) else stored
+    if cell.simpleString() not in CELL_NAMES:
+        raise ValueError(f"cells of {path} are {stored.simpleString()}")
+    return cell
+
+
+def common_cell(cells: Sequence[T.DataType]) -> T.DataType:
+    """The type that holds the cells of all sources exactly: int, float or double."""
+    names = {c.simpleString() for c in cells}
+    if not names & {"float", "double"}:
+        return T.IntegerType()
+    # Not every int is a float of 32 bits; bytes and shorts are.
+    return T.DoubleType() if names & {"double", "int"} else T.FloatType()
+
+
 def read_scenes(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -96,23 +119,36 @@ def read_scenes(
     partitions: int | None = None,
     max_block: int | None = None,
     on_bad: str = "error",
-    cell: T.DataType = T.IntegerType(),
+    cell: T.DataType | None = None,
 ) -> DataFrame:
     """Scan and union the sources; adds ``src`` and the scene key ``i``/``j``.
 
     ``crs`` overrides the stored CRS, ``partitions`` sets the read parallelism
-    and ``max_block`` cuts larger blocks at read time.
+    and ``max_block`` cuts larger blocks at read time.  Cells get the one type
+    that holds those of all sources, or ``cell``.  Floating cells have a cell
+    type named after it, and their NaN is NoData.
     """
-    schema = scene_block_schema(cell)
-    stored = T.StructType([f for f in schema if f.name != "source_dir"])
+    listed = split_paths(paths)
+    if not listed:
+        raise ValueError("no source path given")
+    stored = [stored_cell(spark, p) for p in listed]
+    cell = common_cell(stored) if cell is None else cell
     parts = [
-        spark.read.schema(stored).parquet(p).withColumns(
-            {"source_dir": F.lit(base_name(p)), "src": F.lit(k)}
-        )
-        for k, p in enumerate(split_paths(paths))
+        spark.read.schema(
+            T.StructType([f for f in scene_block_schema(own) if f.name != "source_dir"])
+        ).parquet(p).withColumns({"source_dir": F.lit(base_name(p)), "src": F.lit(k)})
+        for k, (p, own) in enumerate(zip(listed, stored))
     ]
-    if not parts:
-        raise ValueError("no source path given")
+    if isinstance(cell, (T.FloatType, T.DoubleType)):
+        parts = [
+            df.withColumns({"cells": float_cells(cell), "cell_type": F.lit(CELL_NAMES[cell.simpleString()])})
+            for df in parts
+        ]
+    else:
+        parts = [
+            df if own == cell else df.withColumn("cells", F.col("cells").cast(T.ArrayType(cell)))
+            for df, own in zip(parts, stored)
+        ]
     df = reduce(DataFrame.unionByName, parts)
     if crs is not None:
         df = df.withColumn("crs", F.lit(crs))
@@ -124,6 +160,13 @@ def read_scenes(
     return parse_scene_key(df, on_bad=on_bad)
 
 
+def float_cells(cell: T.DataType) -> Column:
+    """``cells`` as floating numbers; NaN becomes NULL."""
+    return F.transform(
+        F.col("cells").cast(T.ArrayType(cell)), lambda v: F.when(~F.isnan(v), v)
+    )
+
+
 def reblock(blocks: DataFrame, size: int) -> DataFrame:
     """Cut whole bands (block 0, 0) into blocks of at most ``size`` x ``size``.
 

@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rastertable.catalog import fixtures as X
 from rastertable.functions import geo
@@ -18,7 +19,7 @@ from rastertable.plans.ingest import build_zoomed, ingest
 from rastertable.plans.sampling import chips_from_windows, generate_samples
 from rastertable.sources import layers
 from rastertable.sources.samples import product_view
-from rastertable.sources.scenes import read_scenes, split_paths
+from rastertable.sources.scenes import common_cell, read_scenes, split_paths
 
 TILE = 6
 
@@ -309,3 +310,61 @@ def test_two_rows_of_one_block_are_an_error(spark, sf_dir):
     twice = blocks.union(blocks.where("band = 0 AND src = 0").limit(1))
     with pytest.raises(Exception, match="two rows of one band"):
         assemble_scenes(twice, X.SCENE, X.SCENE).select("i").collect()
+
+
+def test_float_sources(spark, sources, catalog, tmp_path):
+    """One source of doubles makes a layer of doubles; its NaN cells are NoData."""
+    paths = split_paths(sources)
+    real = f"{tmp_path}/height"
+    os.makedirs(real)
+    real = f"{real}/{os.path.basename(paths[1])}"
+    k = F.transform("cells", lambda v, i: F.when(i % 5 == 0, F.lit(float("nan"))).otherwise(v + 0.25))
+    spark.read.parquet(paths[1]).withColumn("cells", k).write.parquet(real)
+    listed = [paths[0], real, *paths[2:]]
+    blocks = read_scenes(spark, listed)
+    assert blocks.schema["cells"].dataType.elementType == T.DoubleType()
+    assert [r[0] for r in blocks.select("cell_type").distinct().collect()] == ["float64"]
+
+    path = str(tmp_path / "c")
+    ingest(spark, listed, path, "scenes", tile=TILE, block_size=3, scene_size=X.SCENE, max_block=3)
+    assert layers.layer_meta_row(spark, path, "scenes", 0).cell_type == "float64"
+    got = layout.tiles_to_pixels(layers.read_layer(spark, path, "scenes", 0), TILE, drop_nodata=False)
+    plain = layout.tiles_to_pixels(layers.read_layer(spark, catalog, "scenes", 0), TILE, drop_nodata=False)
+    assert dict(got.dtypes)["b0"] == "double" and dict(plain.dtypes)["b0"] == "int"
+    bands = [c for c in got.columns if c[0] == "b"]
+    both = got.select("x", "y", *bands).join(
+        plain.select("x", "y", *[F.col(b).alias(f"i{b}") for b in bands]), ["x", "y"]
+    )
+    changed = both.select(*[F.count_if(~F.col(b).eqNullSafe(F.col(f"i{b}").cast("double"))).alias(b) for b in bands]).first()
+    moved = [b for b in bands if changed[b]]
+    # Only bands of that source differ: by a quarter, or as NoData.
+    assert moved and len(moved) < len(bands)
+    for b in moved:
+        n = both.select(
+            F.count_if(F.col(b) == F.col(f"i{b}") + 0.25).alias("quarter"),
+            F.count_if(F.col(b).isNull() & F.col(f"i{b}").isNotNull()).alias("none"),
+            F.count_if(F.isnan(b)).alias("nan"),
+        ).first()
+        assert n["quarter"] > 0 and n["none"] > 0 and n["nan"] == 0 and n["quarter"] + n["none"] == changed[b]
+
+    zoom = build_zoomed(spark, path, "scenes", "web", tile=64, zoom=16, pyramid=False)
+    web = layers.read_layer(spark, path, "web", zoom)
+    assert dict(web.dtypes)[moved[0]] == "array<double>"
+    cells = layout.tiles_to_pixels(web.select("col", "row", moved[0]), 64).select(moved[0]).distinct()
+    assert cells.count() > 0
+    assert cells.exceptAll(got.select(moved[0]).distinct()).count() == 0
+
+
+def test_common_cell():
+    byte, short, whole, single, double = T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType(), T.DoubleType()
+    assert common_cell([byte, short]) == common_cell([whole]) == whole
+    assert common_cell([short, single]) == single
+    assert common_cell([whole, single]) == common_cell([single, double]) == double
+
+
+def test_sources_of_other_cells_are_an_error(spark, sources, tmp_path):
+    first = split_paths(sources)[0]
+    bad = f"{tmp_path}/text"
+    spark.read.parquet(first).withColumn("cells", F.col("cells").cast("array<string>")).write.parquet(bad)
+    with pytest.raises(ValueError, match="array<string>"):
+        read_scenes(spark, bad)
