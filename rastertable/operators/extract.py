@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastertable.functions import geo
+from rastertable.functions.batches import map_bands, masked
 from rastertable.functions.tiles import crop_cells
 from rastertable.grid import Grid, zorder_of
 from rastertable.operators.joins import join_tiles, spread
 from rastertable.schema import BAND_NAMES, band_columns
+from rastertable.session import bounded_batches
 
 # Unrolling more edges than this would exceed the generated-code limit.
 UNROLL_EDGES = 64
@@ -153,20 +155,25 @@ def polygons_join_tiles(polygons: DataFrame, tiles: DataFrame, grid: Grid, ident
 def mask_joined(df: DataFrame, grid: Grid, bands: Sequence[str]) -> DataFrame:
     """Mask tiles that carry their polygon's ``edges`` and ``relation``.
 
-    Tiles wholly inside pass unchanged; only boundary tiles are tested cell by
-    cell.
+    Tiles wholly inside pass unchanged; only boundary tiles are tested, once
+    for all bands.
     """
+    bounded_batches(df.select(*bands), grid.tile * grid.tile)
     box = grid.key_extent(F.col("col"), F.col("row"))
+    # A ray to the right only meets edges that reach past the left side.
+    near = F.filter(
+        "edges",
+        lambda e: (F.greatest(e["y1"], e["y2"]) >= box["ymin"])
+        & (F.least(e["y1"], e["y2"]) <= box["ymax"])
+        & (F.greatest(e["x1"], e["x2"]) >= box["xmin"]),
+    )
+    whole = F.coalesce(F.col("relation") == "inside", F.lit(False))
     side = F.lit(grid.tile)
-    masked = {
-        b: F.when(F.col("relation") == "inside", F.col(b)).otherwise(
-            geo.mask_cells(
-                F.col(b), F.col("edges"), side, side, box["xmin"], box["ymax"], grid.cw, grid.ch
-            )
-        )
-        for b in bands
+    inputs = {
+        "whole": whole, "edges": F.when(~whole, near), "cols": side, "rows": side,
+        "left": box["xmin"], "top": box["ymax"],
     }
-    return df.withColumns(masked)
+    return map_bands(df, bands, inputs, masked(grid.cw, grid.ch))
 
 
 def mask_tiles(tiles: DataFrame, polygon: geo.Rings, grid: Grid) -> DataFrame:

@@ -14,6 +14,7 @@ from rastertable.functions.tiles import constant_cells, crop_cells, dense_cells,
 from rastertable.grid import Grid, zorder
 from rastertable.operators.joins import join_tiles, measured_broadcast, spread
 from rastertable.schema import BAND_NAMES, LAYER_META, SCENE_SIZE, band_columns, cell_sql_type
+from rastertable.session import bounded_batches
 
 # Contributions to one tile that are merged inside one group; tiles with more
 # are merged cell by cell, where partial aggregation bounds every task.  A full
@@ -383,18 +384,6 @@ def pyramid_pixels(pixels: DataFrame, level: int) -> DataFrame:
     )
 
 
-# Cells of all bands that an Arrow batch of whole tiles may hold.
-BATCH_CELLS = 8_000_000
-
-
-def _bounded_batches(tiles: DataFrame, cells: int) -> None:
-    """Let Arrow batches of this session hold no more whole tiles than ``BATCH_CELLS`` allow."""
-    conf, name = tiles.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    rows = max(1, BATCH_CELLS // (cells * max(len(band_columns(tiles)), 1)))
-    if not 0 < int(conf.get(name)) <= rows:
-        conf.set(name, str(rows))
-
-
 def _source_cells(source: Grid, target: Grid, col: int, row: int, window=None):
     """Source cell of the centres in a window of a target tile, and which lie on the source.
 
@@ -468,7 +457,7 @@ def reproject_nn(
     t, s = target.tile, source.tile
     bands = band_columns(tiles)
     types = {b: cell_sql_type(tiles, b) for b in bands}
-    _bounded_batches(tiles, max(s * s, t * t))
+    bounded_batches(tiles, max(s * s, t * t))
     pairs = footprints(target_keys, source, target).withColumn("_pair", F.xxhash64("tcol", "trow"))
     joined = join_tiles(pairs, tiles.select("col", "row", *bands), "_pair").select(
         "tcol", "trow", "col", "row", F.array("c0", "c1", "r0", "r1").alias("_window"), *bands

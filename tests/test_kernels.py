@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from rastertable.functions import cells as C
 from rastertable.functions import geo
 from rastertable.functions import tiles as K
-from rastertable.grid import zorder, zorder_of
+from rastertable.grid import Grid, zorder, zorder_of
+from rastertable.operators import extract
 
 RNG = np.random.default_rng(7)
 
@@ -256,3 +257,29 @@ def test_reproject_against_plain(spark, scale):
     assert want and got == want
     assert layout.reproject_nn(tiles, source, target, keys.where("false")).count() == 0
     assert layout.reproject_nn(tiles.where("false"), source, target, keys).count() == 0
+
+
+def test_masked_bands_follow_the_outline_once(spark):
+    """All bands of a tile are masked in one Arrow step, by the rule of the one-band form."""
+    grid = Grid(0.0, 10.0, 0.5, 0.5, 20, 20, 20)
+    cells = F.expr("sequence(0, 399)")
+    tiles = spark.range(1).select(F.lit(0).alias("col"), F.lit(0).alias("row"), cells.alias("b0"), F.reverse(cells).cast("array<double>").alias("b1"))
+    masked = extract.mask_tiles(tiles, HOLED, grid)
+    assert masked._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    edges = geo.polygon_edges(geo.rings_literal(HOLED))
+    plain = geo.mask_cells(cells, edges, F.lit(20), F.lit(20), F.lit(0.0), F.lit(10.0), 0.5, 0.5)
+    want = spark.range(1).select(plain.alias("m")).first()["m"]
+    got = masked.first()
+    assert got["b0"] == want
+    assert got["b1"] == [None if v is None else 399.0 - v for v in want]
+
+
+def test_whole_and_unknown_tiles(spark):
+    """Tiles wholly inside pass as they are; an empty outline leaves nothing."""
+    grid = Grid(0.0, 2.0, 1.0, 1.0, 2, 4, 2)
+    kind = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    df = spark.createDataFrame(
+        [(0, 0, "inside", None, [1, None, 3, 4]), (1, 0, "edge", [], [1, 2, 3, 4]), (1, 0, "edge", [], None)],
+        f"col int, row int, relation string, edges {kind}, b0 array<int>",
+    )
+    assert [r.b0 for r in extract.mask_joined(df, grid, ["b0"]).collect()] == [[1, None, 3, 4], [None] * 4, None]
