@@ -61,7 +61,9 @@ def join_tiles(
     shuffled at all.  Otherwise both sides are shuffled; a tile with ``n >
     hot_key`` keys is replicated ``ceil(n / hot_key)`` times and its keys are
     dealt out over the copies, so that no task serves more than about
-    ``hot_key`` keys of one tile.  Every pair appears exactly once either way.
+    ``hot_key`` keys of one tile.  Without such tiles the keys of a partition
+    are hashed and its tiles stream past them, so no task sorts whole tiles.
+    Every pair appears exactly once either way.
     """
     if strategy not in ("auto", "broadcast", "salted"):
         raise ValueError(f"unknown join strategy {strategy}")
@@ -87,7 +89,7 @@ def join_tiles(
     if strategy == "broadcast":
         return tiles.join(F.broadcast(keys), ["col", "row"])
     if stats is not None and not stats["hot"]:
-        return tiles.join(keys, ["col", "row"])
+        return tiles.join(keys.hint("shuffle_hash"), ["col", "row"])
 
     copies = counts.where(F.col("_n") > hot_key).select(
         "col", "row", F.ceil(F.col("_n") / hot_key).cast("int").alias("_copies")

@@ -241,3 +241,15 @@ def test_mixed_cell_sizes_are_refused(spark):
     assert layout.place_on_grid(df, grid, 4).first()["y0"] == 4
     with pytest.raises(Exception, match="cell size differs"):
         layout.place_on_grid(df, grid, 3).collect()
+
+
+def test_shuffled_tiles_are_not_sorted(spark):
+    """Where tiles are shuffled, the small keys are hashed and tiles stream past them."""
+    tiles = full_tiles(spark)
+    windows = spark.createDataFrame([(i, i % 9, 0, i % 9 + 5, 5) for i in range(40)], "window_id long, x0 long, y0 long, x1 long, y1 long")
+    joined = join_tiles(window_keys(windows, 8), tiles, "window_id", max_broadcast=1)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    small = join_tiles(window_keys(windows, 8), tiles, "window_id", strategy="broadcast")
+    pairs = ["window_id", "col", "row"]
+    assert sorted(joined.select(pairs).collect()) == sorted(small.select(pairs).collect())
