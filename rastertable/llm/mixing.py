@@ -52,6 +52,11 @@ END_BYTE = b"\xff"
 # Kinds of counts: words, windows of learning texts, windows of texts kept for tuning; and windows to be scored.
 WORD, LEARNING, TUNING, ASKED = range(4)
 END_WORD = xxhash.xxh3_64_intdigest(b" ")
+# Bounds of a Python worker's and of Spark's memory: bytes of texts cut to windows at once (about 50 bytes
+# each), windows counted before they leave, and rows of a batch that leaves.
+TEXT_BYTES = 1 << 19
+HELD = 2_000_000
+OUT_ROWS = 1 << 16
 CONFIDENCES = 3
 GATES = (len(ORDERS) + 1) * CONFIDENCES * 8
 STEP = 12 / 2047
@@ -86,6 +91,18 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return w[at], owner
 
 
+def _parts(texts: list[bytes]):
+    """Runs of texts of at most ``TEXT_BYTES`` bytes, longer texts alone: (place of the first, texts)."""
+    s, size = 0, 0
+    for e, t in enumerate(texts):
+        if e > s and size + len(t) > TEXT_BYTES:
+            yield s, texts[s:e]
+            s, size = e, 0
+        size += len(t) + WINDOW
+    if texts:
+        yield s, texts[s:]
+
+
 def _count(batches):
     """(tuning, text) batches to partial counts of words and of windows for learning and tuning."""
     words: Counter = Counter()
@@ -93,21 +110,27 @@ def _count(batches):
     held, texts_seen = 0, 0
 
     def batch(kind, key, n):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["kind", "key", "n"]
-        )
+        # Spark holds a batch outside its heap, so they are to be small.
+        for s in range(0, len(key), OUT_ROWS):
+            k, part = key[s : s + OUT_ROWS], n[s : s + OUT_ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(part, pa.int64())], names=["kind", "key", "n"]
+            )
 
     def flush():
         nonlocal held, texts_seen
         if words or texts_seen:
             keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words] + [END_WORD], U64)
-            yield batch(WORD, keys, np.array([*words.values(), texts_seen], np.int64))
+            n = np.array([*words.values(), texts_seen], np.int64)
+            words.clear()
+            yield from batch(WORD, keys, n)
         for kind, arrays in parts.items():
             if arrays:
-                key, n = np.unique(np.concatenate(arrays), return_counts=True)
-                yield batch(kind, key, n)
+                w = np.concatenate(arrays)
                 arrays.clear()
-        words.clear()
+                w.sort()
+                first = np.append(np.flatnonzero(np.append(True, w[1:] != w[:-1])), len(w))
+                yield from batch(kind, w[first[:-1]], np.diff(first))
         held = texts_seen = 0
 
     for b in batches:
@@ -118,14 +141,14 @@ def _count(batches):
             texts_seen += 1
             groups[TUNING if tuning else LEARNING].append(text)
         for kind, texts in groups.items():
-            # Very long texts go alone, so that a batch of them does not hold all windows at once.
-            for s in range(0, len(texts), 64):
-                w = windows_of(texts[s : s + 64])[0]
+            # A batch of very long texts does not hold all windows at once.
+            for _, some in _parts(texts):
+                w = windows_of(some)[0]
                 parts[kind].append(w)
                 held += len(w)
-                if held > 6_000_000:
+                if held > HELD:
                     yield from flush()
-        if len(words) > 400_000:
+        if len(words) > 200_000:
             yield from flush()
     yield from flush()
 
@@ -486,10 +509,10 @@ def _score(batches, windows: tuple[np.ndarray, np.ndarray], top: np.ndarray, top
     for batch in batches:
         texts = [(t or b"").lower() for t in batch.column(1).to_pylist()]
         score, rare_window, rare_window_doc = np.zeros(len(texts)), [], []
-        for s in range(0, len(texts), 64):
-            w, owner = windows_of(texts[s : s + 64])
+        for s, some in _parts(texts):
+            w, owner = windows_of(some)
             cost, missing = costs.of(w)
-            score[s : s + 64] = np.bincount(owner, cost, len(texts[s : s + 64]))
+            score[s : s + len(some)] = np.bincount(owner, cost, len(some))
             rare_window.append(w[missing])
             rare_window_doc.append(owner[missing] + s)
         rare_window = np.concatenate(rare_window) if rare_window else np.zeros(0, U64)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -333,6 +334,20 @@ def test_long_contexts_count_exactly():
                     assert (a, b) == tuple(sum(c for y, c in same if y >> (7 - bit) & 1 == v) for v in (0, 1))
 
 
+def test_counts_leave_in_small_batches():
+    """Window counts are exact and leave in batches that Spark can hold beside its heap; long texts are cut one by one."""
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, n).astype(np.uint8).tobytes() for n in (0, 5, 900_000, 700_000, 40)]
+    assert [(s, [len(t) for t in some]) for s, some in mixing._parts(texts)] == [(0, [0, 5]), (2, [900_000]), (3, [700_000]), (4, [40])]
+    rows = pa.table({"tuning": [False] * 5, "text": texts})
+    batches = list(mixing._count(iter(rows.to_batches())))
+    assert max(b.num_rows for b in batches) <= 1 << 16
+    windows = np.concatenate([mixing.windows_of([t])[0] for t in texts])
+    key, n = np.unique(windows, return_counts=True)
+    out = pa.Table.from_batches(batches).filter(pc.field("kind") == mixing.LEARNING).group_by("key").aggregate([("n", "sum")]).sort_by("key")
+    assert out.column("key").to_pylist() == key.tolist() and out.column("n_sum").to_pylist() == n.tolist()
+
+
 def test_rare_windows_are_joined(docs, edges):
     """The broadcast share of the windows does not change the score."""
     for d in (docs, edges):
