@@ -126,37 +126,47 @@ def place_cells(cells: Column, cols, x0, y0, w, h, out_cols, out_rows,
     )
 
 
-def dense_cells(entries: Column, field: str, n, cell_type: str = "int") -> Column:
-    """Dense band from sparse ``struct(k, ..)`` entries sorted by ``k``.
+def dense_bands(entries: Column, fields: dict[str, str], n) -> Column:
+    """struct of dense bands from sparse ``struct(k, ..)`` entries sorted by ``k``; ``fields`` names their cell types.
 
     Each entry is followed by the NoData run up to the next one, so the work is
-    linear in the number of cells.
+    linear in the number of cells.  All bands of a cell type share the runs.
     """
     n = _int(n)
 
-    def fill(sorted_entries: Column) -> Column:
-        def run(e: Column, i: Column) -> Column:
-            nxt = F.coalesce(F.get(sorted_entries, i + 1).getField("k"), n)
-            return F.concat(
-                F.array(e.getField(field).cast(cell_type)),
-                constant_cells(None, nxt - e.getField("k") - 1, cell_type),
-            )
+    def gapped(es: Column) -> Column:
+        first = F.get(es, F.lit(0)).getField("k")
+
+        def run(e: Column, i: Column, ctype: str) -> Column:
+            nxt = F.coalesce(F.get(es, i + 1).getField("k"), n)
+            return constant_cells(None, nxt - e.getField("k") - 1, ctype)
+
+        def band(field: str, ctype: str, runs: Column) -> Column:
+            # Pairs that are flattened twice: a concat per entry takes several times as long.
+            pairs = F.zip_with(es, runs, lambda e, r: F.array(F.array(e.getField(field).cast(ctype)), r))
+            return F.concat(constant_cells(None, first, ctype), F.flatten(F.flatten(pairs))).alias(field)
+
+        def bound(types: list[str], runs: dict[str, Column]) -> Column:
+            if not types:
+                return F.struct(*[band(f, t, runs[t]) for f, t in fields.items()])
+            t = types[0]
+            return let(F.transform(es, lambda e, i: run(e, i, t)), lambda r: bound(types[1:], {**runs, t: r}))
+
+        return bound(sorted(set(fields.values())), {})
 
-        first = F.get(sorted_entries, F.lit(0)).getField("k")
+    def fill(es: Column) -> Column:
         # Without gaps the entries are the cells.
-        return F.when(
-            F.size(sorted_entries) == n,
-            F.transform(sorted_entries, lambda e: e.getField(field).cast(cell_type)),
-        ).otherwise(
-            F.concat(
-                constant_cells(None, first, cell_type),
-                F.flatten(F.transform(sorted_entries, run)),
-            )
-        )
+        whole = F.struct(*[es.getField(f).cast(f"array<{t}>").alias(f) for f, t in fields.items()])
+        return F.when(F.size(es) == n, whole).otherwise(gapped(es))
 
     return let(entries, fill)
 
 
+def dense_cells(entries: Column, field: str, n, cell_type: str = "int") -> Column:
+    """One dense band from sparse entries."""
+    return dense_bands(entries, {field: cell_type}, n).getField(field)
+
+
 # ----------------------------------------------------------------- orientation
 def flip_vertical(cells: Column, cols, rows) -> Column:
     """Mirror left-right (about the vertical axis)."""

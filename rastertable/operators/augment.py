@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastertable.functions.tiles import orient
+from rastertable.functions.batches import map_bands, oriented
 from rastertable.operators.windows import Uniform
 from rastertable.schema import band_columns
 
@@ -35,16 +35,13 @@ def orient_chips(chips: DataFrame) -> DataFrame:
         "cols": F.when(odd, F.col("rows")).otherwise(F.col("cols")),
         "rows": F.when(odd, F.col("cols")).otherwise(F.col("rows")),
     }
-    bands = band_columns(chips)
-    turned = {
-        b: orient(
-            F.col(b), F.col("cols"), F.col("rows"), F.col("flip_v"), F.col("flip_h"), F.col("turns")
-        )
-        for b in bands
-    }
-    # In two steps: inside a lambda, Spark would resolve ``cols`` to the new
-    # column of the same projection.
-    return chips.withColumns(turned).withColumns(size)
+    return _turned(chips, "cols", "rows").withColumns(size)
+
+
+def _turned(chips: DataFrame, cols: str, rows: str) -> DataFrame:
+    """All bands flipped and turned in one Arrow step."""
+    inputs = {c: F.col(c) for c in (cols, rows, "flip_v", "flip_h", "turns")}
+    return map_bands(chips, band_columns(chips), inputs, oriented)
 
 
 def orient_pieces(pieces: DataFrame) -> DataFrame:
@@ -76,8 +73,4 @@ def orient_pieces(pieces: DataFrame) -> DataFrame:
         "w": F.when(odd, F.col("h")).otherwise(F.col("w")),
         "h": F.when(odd, F.col("w")).otherwise(F.col("h")),
     }
-    turned = {
-        b: orient(F.col(b), F.col("w"), F.col("h"), F.col("flip_v"), F.col("flip_h"), F.col("turns"))
-        for b in band_columns(pieces)
-    }
-    return pieces.withColumns(turned).withColumns(moved)
+    return _turned(pieces, "w", "h").withColumns(moved)

@@ -53,9 +53,14 @@ def join_tiles(
     strategy: str = "auto",
     max_broadcast: int = BROADCAST_ROWS,
     hot_key: int = HOT_KEY,
+    lists: bool = False,
 ) -> DataFrame:
     """Equi-join key rows (id, col, row, ..) with the tiles they address.
 
+    ``lists`` gives the keys of a tile as the array ``_keys`` of structs beside
+    the tile, instead of a copy of the tile beside each key.  A tile has one
+    such row, or one per share of its keys if they are dealt out.
+
     ``auto`` first counts the key rows per tile, a small aggregate over keys
     only.  Few and well spread keys are broadcast, so the tiles are not
     shuffled at all.  Otherwise both sides are shuffled; a tile with ``n >
@@ -67,6 +72,11 @@ def join_tiles(
     """
     if strategy not in ("auto", "broadcast", "salted"):
         raise ValueError(f"unknown join strategy {strategy}")
+    def listed(rows: DataFrame, *on: str) -> DataFrame:
+        if not lists:
+            return rows
+        return rows.groupBy(*on).agg(F.collect_list(F.struct(*[c for c in keys.columns if c not in ("col", "row")])).alias("_keys"))
+
     # Keys of polygons carry edges of any number; the limit is in rows of about 100 bytes.
     weight = 1 + F.size("edges") * 0.32 if "edges" in keys.columns else F.lit(1.0)
     counts = keys.groupBy("col", "row").agg(F.count("*").alias("_n"), F.sum(weight).alias("_weight"))
@@ -79,7 +89,7 @@ def join_tiles(
             *[F.expr(f"{f}({c})").alias(f"{c}_{f}") for c in ("col", "row") for f in ("min", "max")],
         ).first()
         if not stats["total"]:
-            return tiles.where(F.lit(False)).join(keys, ["col", "row"])
+            return tiles.where(F.lit(False)).join(listed(keys, "col", "row"), ["col", "row"])
         tiles = tiles.where(
             F.col("col").between(stats["col_min"], stats["col_max"])
             & F.col("row").between(stats["row_min"], stats["row_max"])
@@ -87,9 +97,9 @@ def join_tiles(
         small = stats["total"] <= max_broadcast and stats["top"] <= hot_key
         strategy = "broadcast" if small else "salted"
     if strategy == "broadcast":
-        return tiles.join(F.broadcast(keys), ["col", "row"])
+        return tiles.join(F.broadcast(listed(keys, "col", "row")), ["col", "row"])
     if stats is not None and not stats["hot"]:
-        return tiles.join(keys.hint("shuffle_hash"), ["col", "row"])
+        return tiles.join(listed(keys, "col", "row").hint("shuffle_hash"), ["col", "row"])
 
     copies = counts.where(F.col("_n") > hot_key).select(
         "col", "row", F.ceil(F.col("_n") / hot_key).cast("int").alias("_copies")
@@ -106,7 +116,8 @@ def join_tiles(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
         .drop("_copies")
     )
-    return right.join(left, ["col", "row", "_salt"]).drop("_salt")
+    on = ["col", "row", "_salt"]
+    return right.join(listed(left, *on), on).drop("_salt")
 
 
 def diff_layers(a: DataFrame, b: DataFrame, column: str, on=("x", "y"), out: str = "diff") -> DataFrame:

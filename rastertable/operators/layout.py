@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastertable.functions.geo import reproject, reproject_columns
-from rastertable.functions.tiles import constant_cells, crop_cells, dense_cells, let, place_cells
+from rastertable.functions.tiles import constant_cells, crop_cells, dense_bands, let, place_cells
 from rastertable.grid import Grid, zorder
 from rastertable.operators.joins import join_tiles, measured_broadcast, spread
 from rastertable.schema import BAND_NAMES, LAYER_META, SCENE_SIZE, band_columns, cell_sql_type
@@ -61,11 +61,8 @@ def pixels_to_tiles(pixels: DataFrame, tile: int) -> DataFrame:
     return grouped.select(
         "col", "row", zorder(F.col("col"), F.col("row")).alias("z"),
         F.lit(tile).alias("tile_cols"), F.lit(tile).alias("tile_rows"),
-        *[
-            dense_cells(F.col("_e"), b, tile * tile, cell_sql_type(pixels, b)).alias(b)
-            for b in bands
-        ],
-    )
+        dense_bands(F.col("_e"), {b: cell_sql_type(pixels, b) for b in bands}, tile * tile).alias("_d"),
+    ).select("col", "row", "z", "tile_cols", "tile_rows", *[F.col(f"_d.{b}").alias(b) for b in bands])
 
 
 def merge_pixels(pixels: DataFrame, order: str) -> DataFrame:

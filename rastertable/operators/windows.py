@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rastertable.functions.batches import crop_listed, map_rows
 from rastertable.functions.tiles import constant_cells, crop_cells, let
 from rastertable.grid import Grid
 from rastertable.operators.index import dense_index
 from rastertable.operators.joins import join_tiles, window_keys
 from rastertable.schema import band_columns, cell_sql_type
+from rastertable.session import BATCH_CELLS, bounded_batches
 
 Uniform = Callable[[Column, int], Column]
 
@@ -152,15 +155,23 @@ def window_pieces(
 ) -> DataFrame:
     """Pieces of every window, without stitching.
 
-    Suits windows of any size: nothing is grouped, and the tiles are shuffled
-    only if the windows are too many or too concentrated to broadcast.
+    Suits windows of any size: no cells are grouped, and the tiles are shuffled
+    only if the windows are too many or too concentrated to broadcast.  A tile
+    meets its windows as a list, so its cells reach Python once for all of them,
+    and the pieces of ``crop_tiles`` leave in bounded batches.
     """
     bands = band_columns(tiles)
-    keep = [c for c in windows.columns if c not in ("x0", "y0", "x1", "y1")]
-    joined = join_tiles(
-        window_keys(windows, tile), tiles.select("col", "row", *bands), ident, **join_options
-    )
-    return crop_tiles(joined, tile, keep)
+    bounds = ("x0", "y0", "x1", "y1")
+    keep = [c for c in windows.columns if c not in bounds]
+    tiles = tiles.select("col", "row", *bands)
+    if not bands:
+        return crop_tiles(join_tiles(window_keys(windows, tile), tiles, ident, **join_options), tile, keep)
+    bounded_batches(tiles, tile * tile)
+    joined = join_tiles(window_keys(windows, tile), tiles, ident, lists=True, **join_options)
+    kind = {f.name: f.dataType for f in (*tiles.schema, *windows.schema)}
+    kind |= {c: T.IntegerType() for c in ("px", "py", "w", "h")} | {b: T.ArrayType(kind[b].elementType) for b in bands}
+    schema = T.StructType([T.StructField(c, kind[c]) for c in (*keep, "col", "row", *bounds, "px", "py", "w", "h", *bands)])
+    return map_rows(joined, crop_listed(tile, keep, bands, BATCH_CELLS), schema)
 
 
 def stitch(pieces: DataFrame, tile: int, ident: str = "window_id") -> DataFrame:

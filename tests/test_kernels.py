@@ -1,6 +1,7 @@
 """Array kernels against NumPy on small arrays, and their algebra."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,3 +284,26 @@ def test_whole_and_unknown_tiles(spark):
         f"col int, row int, relation string, edges {kind}, b0 array<int>",
     )
     assert [r.b0 for r in extract.mask_joined(df, grid, ["b0"]).collect()] == [[1, None, 3, 4], [None] * 4, None]
+
+
+def test_turns_in_one_step_match_expressions(spark):
+    """The Arrow kernel turns every band as ``tiles.orient`` does, null choices and bands included."""
+    from rastertable.operators.augment import orient_chips
+
+    rows = [
+        (c, r, v, h, t, [None if k == 1 else k for k in range(c * r)] if c else None, [k * 0.5 for k in range(c * r)])
+        for c, r in ((3, 2), (1, 4), (2, 2), (0, 3))
+        for v in (True, False, None) for h in (True, False, None) for t in (*range(5), -1, None)
+    ]
+    df = spark.createDataFrame(rows, "cols int, rows int, flip_v boolean, flip_h boolean, turns int, b0 array<int>, b1 array<double>").where("cols > 0")
+    choice = [F.col(c) for c in ("cols", "rows", "flip_v", "flip_h", "turns")]
+    want = df.select(*[K.orient(F.col(b), *choice).alias(b) for b in ("b0", "b1")])
+    got = orient_chips(df)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.select("b0", "b1").collect()] == [tuple(r) for r in want.collect()]
+
+
+def test_bands_share_their_nodata_runs(spark):
+    entries = "array(named_struct('k', 1, 'b0', 10, 'b1', 0.5D), named_struct('k', 4, 'b0', null, 'b1', 1.5D))"
+    got = spark.range(1).select(K.dense_bands(F.expr(entries), {"b0": "int", "b1": "double"}, 6).alias("d")).select("d.*").first()
+    assert got.b0 == [None, 10, None, None, None, None] and got.b1 == [None, 0.5, None, None, 1.5, None]

@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from rastertable.functions import geo
+from rastertable.functions.batches import crop_listed, map_rows
 from rastertable.grid import Grid
 from rastertable.operators import assemble, extract, layout
 from rastertable.operators.index import dense_index
 from rastertable.operators.joins import join_tiles, measured_broadcast, window_keys
-from rastertable.operators.windows import crop_tiles, stitch
+from rastertable.operators.windows import crop_tiles, stitch, window_pieces
 from rastertable.sources.scenes import parse_scene_key, source_ordinal
 
 GRID = Grid(0.0, 64.0, 1.0, 1.0, 8, 64, 64)
@@ -253,3 +254,21 @@ def test_shuffled_tiles_are_not_sorted(spark):
     small = join_tiles(window_keys(windows, 8), tiles, "window_id", strategy="broadcast")
     pairs = ["window_id", "col", "row"]
     assert sorted(joined.select(pairs).collect()) == sorted(small.select(pairs).collect())
+
+
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "salted"])
+@pytest.mark.parametrize("hot", [16, 10_000])
+def test_tiles_meet_their_windows_as_lists(spark, strategy, hot):
+    """A tile is joined once, not once per window, and the pieces are those of the pairs, also in small batches."""
+    tiles = full_tiles(spark).withColumn("b1", F.when(F.col("col") != 2, F.transform("b0", lambda v: v / 2.0)))
+    windows = hot_windows(spark).withColumn("chip", F.struct("x0", F.lit("a").alias("name")))
+    keys = window_keys(windows, 8)
+    joined = join_tiles(keys, tiles, "window_id", strategy, hot_key=hot, lists=True)
+    if hot == 10_000:
+        assert joined.groupBy("col", "row").count().where("count > 1").count() == 0
+    want = crop_tiles(join_tiles(keys, tiles, "window_id", strategy, hot_key=hot), 8, ["window_id", "chip"])
+    got = window_pieces(windows, tiles, 8, strategy=strategy, hot_key=hot)
+    small = map_rows(joined, crop_listed(8, ["window_id", "chip"], ["b0", "b1"], 50), got.schema)
+    assert got.columns == want.columns and "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(map(str, want.collect()))
+    assert sorted(map(str, got.collect())) == rows and sorted(map(str, small.collect())) == rows
