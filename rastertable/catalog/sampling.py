@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rastertable.catalog import fixtures as X
 from rastertable.catalog.cells import exploded
 from rastertable.catalog.registry import query
+from rastertable.functions.batches import map_rows, totals
 from rastertable.operators import augment, windows as W
 from rastertable.operators.joins import join_tiles, window_keys
 from rastertable.plans.sampling import chips_from_windows
@@ -165,23 +171,23 @@ _PRODUCTS = f"""{_AUGMENTED}, full_size AS (SELECT window_id, (x1 - x0 + 1) * (y
 def _products(chips):
     """Data cells and checksum of each product, per row of chips."""
 
-    def count(c):
-        return F.size(F.filter(c, lambda v: v.isNotNull())).cast("bigint")
+    def rows(batch):
+        column = dict(zip(batch.schema.names, batch.columns))
 
-    def total(c):
-        zero = F.lit(0).cast("bigint")
-        return F.aggregate(c, zero, lambda a, v: a + F.coalesce(v.cast("bigint"), zero))
+        def weighted(prefix, weights):
+            sums = [totals(column[f"{prefix}{b}"]) for b in BANDS]
+            return sums[0][0], reduce(pc.add, [pc.multiply(s, k) for k, (_, s) in zip(weights, sums)])
 
-    micro = F.transform("ndvi", lambda v: F.floor(v * 1000000))
-    rows = F.array(
-        F.struct(F.lit("image").alias("product"), count(F.col("b0")).alias("n"),
-                 sum((total(F.col(b)) for b in BANDS[1:]), total(F.col("b0"))).alias("checksum")),
-        F.struct(F.lit("ndvi").alias("product"), count(F.col("ndvi")).alias("n"), total(micro).alias("checksum")),
-        F.struct(F.lit("mask").alias("product"), count(F.col("mask")).alias("n"), total(F.col("mask")).alias("checksum")),
-        F.struct(F.lit("image_z").alias("product"), count(F.col("z_b0")).alias("n"),
-                 sum((total(F.col(f"z_{b}")) * k for k, b in enumerate(BANDS[1:], 2)), total(F.col("z_b0"))).alias("checksum")),
-    )
-    return chips.select("window_id", F.inline(rows))
+        parts = {
+            "image": weighted("", (1, 1, 1, 1)), "ndvi": totals(column["micro"]),
+            "mask": totals(column["mask"]), "image_z": weighted("z_", (1, 2, 3, 4)),
+        }
+        for product, (n, checksum) in parts.items():
+            yield {"window_id": column["window_id"], "product": pa.array([product] * len(n)), "n": n, "checksum": checksum}
+
+    schema = StructType([chips.schema["window_id"], *(StructField(c, t) for c, t in (("product", StringType()), ("n", LongType()), ("checksum", LongType())))])
+    micro = F.transform("ndvi", lambda v: F.floor(v * 1000000)).alias("micro")
+    return map_rows(chips.select("window_id", *BANDS, micro, "mask", *[f"z_{b}" for b in BANDS]), rows, schema)
 
 
 @query("generate_samples", _PRODUCTS)

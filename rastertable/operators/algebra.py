@@ -10,9 +10,14 @@ from pyspark.sql import types as T
 
 from rastertable.functions import cells as C
 from rastertable.functions import tiles as K
+from rastertable.functions.batches import map_rows, zscores
 from rastertable.schema import band_columns, cell_sql_type
 
 
+# Cell types whose values are exact as doubles, or rounded alike there and in Spark.
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 def _is_tile(df: DataFrame, band: str) -> bool:
     return isinstance(df.schema[band].dataType, T.ArrayType)
 
@@ -64,11 +69,18 @@ def add_zscore(
     A band without data is an error, or stays without data if not ``strict``.
     """
     bands = list(bands or band_columns(df))
-    return df.withColumns(
-        {
-            f"{prefix}{b}": K.zscore_cells(F.col(b), strict) for b in bands
-        }
-    )
+    if not all(isinstance(df.schema[b].dataType.elementType, WHOLE) for b in bands):
+        return df.withColumns({f"{prefix}{b}": K.zscore_cells(F.col(b), strict) for b in bands})
+    # Whole numbers: all bands in one Arrow step.
+    out = [f"{prefix}{b}" for b in bands]
+    fields = [f for f in df.schema if f.name not in out]
+    schema = T.StructType([*fields, *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in out]])
+
+    def scored(batch):
+        columns = dict(zip(batch.schema.names, batch.columns))
+        yield columns | {c: zscores(columns[b], strict) for c, b in zip(out, bands)}
+
+    return map_rows(df, scored, schema)
 
 
 def merged_stats(parts: DataFrame, key: str, bands: Sequence[str]) -> DataFrame:

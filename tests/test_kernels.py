@@ -307,3 +307,17 @@ def test_bands_share_their_nodata_runs(spark):
     entries = "array(named_struct('k', 1, 'b0', 10, 'b1', 0.5D), named_struct('k', 4, 'b0', null, 'b1', 1.5D))"
     got = spark.range(1).select(K.dense_bands(F.expr(entries), {"b0": "int", "b1": "double"}, 6).alias("d")).select("d.*").first()
     assert got.b0 == [None, 10, None, None, None, None] and got.b1 == [None, 0.5, None, None, 1.5, None]
+
+
+def test_zscores_and_totals_in_one_step_match_expressions(spark):
+    from rastertable.functions.batches import totals
+    from rastertable.operators.algebra import add_zscore
+
+    cells = [[1, 2, None, 9], [5, 5, 5], [None, None], [], None, [2147483647, -2147483648, 0], [7]]
+    df = spark.createDataFrame([(c, [None if v is None else v * 3 for v in c] if c is not None else None) for c in cells], "b0 array<int>, b1 array<long>")
+    want = df.select(*[K.zscore_cells(F.col(b), False).alias(f"z_{b}") for b in ("b0", "b1")])
+    got = add_zscore(df, strict=False)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.select("z_b0", "z_b1").collect()] == [tuple(r) for r in want.collect()]
+    n, total = totals(pa.array(cells, pa.list_(pa.int32())))
+    assert n.to_pylist() == [3, 3, 0, 0, None, 3, 1] and total.to_pylist() == [12, 15, 0, 0, None, -1, 7]
